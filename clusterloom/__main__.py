@@ -12,7 +12,7 @@ import logging
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from clusterloom.config import JobConfig
+from clusterloom.config import FOOD_MODEL_PATH, FOOD_SEED_PATH, JobConfig
 from clusterloom.operators.counting import word_count
 from clusterloom.plans.job import run_job
 
@@ -21,8 +21,8 @@ def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="clusterloom")
     commands = parser.add_subparsers(dest="command", required=True)
     cluster = commands.add_parser("cluster", help="run the clustering job on the database in DB_URL")
-    cluster.add_argument("--seed-path", default="data/data.csv")
-    cluster.add_argument("--model-path", default="models/kmeans_food_model")
+    cluster.add_argument("--seed-path", default=FOOD_SEED_PATH)
+    cluster.add_argument("--model-path", default=FOOD_MODEL_PATH)
     words = commands.add_parser("words", help="count the words of text files")
     words.add_argument("path", nargs="+")
     words.add_argument("--top", type=int, default=20)

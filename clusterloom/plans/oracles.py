@@ -214,6 +214,9 @@ ORACLES: dict[str, str] = {
     ),
     "embedding_assign": _embedding_assign(),
     "embedding_silhouette": _embedding_silhouette(),
+    "tsv_split_scan": (
+        "select count(*) as n, " + ", ".join(f"{_r(f'sum({f})', 3)} as {f}" for f in LINE_FEATURES) + " from lineitem"
+    ),
     "tsv_roundtrip": "select doc_id, md5(text) as text_md5, n_chars from documents",
     "jdbc_roundtrip": _ORDER_FACTS,
     "jdbc_overwrite": f"{_ORDER_FACTS} where o_totalprice > 100000",

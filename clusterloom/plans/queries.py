@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clusterloom.config import FOOD_FEATURES, JobConfig
+from clusterloom.functions.distance import MAX_CONSTANTS
 from clusterloom.operators.cleaning import clean, range_profile, select_float
 from clusterloom.operators.clustering import (
     assign,
@@ -21,7 +22,7 @@ from clusterloom.operators.clustering import (
 )
 from clusterloom.operators.counting import null_counts, row_count, word_count
 from clusterloom.operators.features import feature_pipeline, feature_stats, standardize
-from clusterloom.operators.limiting import take_rows
+from clusterloom.operators.limiting import collect_few, take_rows
 from clusterloom.operators.quality import dq_report
 from clusterloom.operators.silhouette import evaluate_silhouette, silhouette
 from clusterloom.plans.job import cluster_rows, run_job
@@ -316,9 +317,10 @@ EMBEDDING_WIDTH = 64
 
 
 def _label_means(vectors: DataFrame) -> list[tuple[int, tuple[float, ...]]]:
-    """The mean vector of every label; the labels are few by the meaning of the table."""
+    """The mean vector of every label."""
     means = [F.avg(F.col("embedding")[i].cast("double")) for i in range(EMBEDDING_WIDTH)]
-    rows = vectors.groupBy("label").agg(*means).orderBy("label").limit(1000).collect()
+    grouped = vectors.groupBy("label").agg(*means).orderBy("label")
+    rows = collect_few(grouped, MAX_CONSTANTS // EMBEDDING_WIDTH, "labels")
     return [(row[0], tuple(row[1:])) for row in rows]
 
 
@@ -343,6 +345,18 @@ def q_embedding_silhouette(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Files and databases
 
 
+@registered
+def q_tsv_split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records proved to keep to one line each, so that files are split into tasks."""
+    folder = work_dir(spark)
+    write_tsv(table(spark, sf_dir, "lineitem").select(*LINE_FEATURES), folder)
+    rows = read_delimited(spark, folder, multi_line=None)
+    return rows.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[rounded(F.sum(F.col(f).cast("double")), f, 3) for f in LINE_FEATURES],
+    )
+
+
 @registered
 def q_tsv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_dir(spark)
