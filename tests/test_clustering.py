@@ -1,0 +1,267 @@
+import math
+
+import numpy as np
+import pytest
+from pyspark.errors import IllegalArgumentException
+from pyspark.ml.clustering import KMeansModel
+
+from clusterloom.config import FOOD_BOUNDS
+from clusterloom.functions import distance
+from clusterloom.operators.cleaning import clean
+from clusterloom.operators.clustering import assign, cluster_profile, fit_kmeans, lloyd, ranked_label
+from clusterloom.operators.features import feature_pipeline
+from clusterloom.operators.silhouette import evaluate_silhouette, silhouette
+from clusterloom.plans.job import cluster_rows
+from clusterloom.sinks.model import load_kmeans, load_scoring_model, save_model
+from clusterloom.storage import work_dir
+from tests.conftest import SMALL
+from tests.fixtures import FEATURES, seed_frame
+
+
+def vectors(spark, points):
+    names = [f"f{i}" for i in range(len(points[0]))]
+    df = spark.createDataFrame([tuple(map(float, p)) for p in points], ", ".join(f"{n} double" for n in names))
+    return feature_pipeline(names).fit(df).transform(df)
+
+
+def frame(spark, points, label=None):
+    names = [f"f{i}" for i in range(len(points[0]))]
+    schema = ", ".join(f"{n} double" for n in names)
+    rows = [tuple(map(float, p)) for p in points]
+    if label is not None:
+        schema, rows = schema + ", cluster int", [(*r, int(c)) for r, c in zip(rows, label)]
+    return spark.createDataFrame(rows, schema).repartition(4), names
+
+
+def brute_lloyd(points, centers, rounds):
+    centers = np.array(centers, dtype=float)
+    for _ in range(rounds):
+        d = ((points[:, None, :] - centers[None]) ** 2).sum(-1)
+        label = d.argmin(1)
+        for j in range(len(centers)):
+            if (label == j).any():
+                centers[j] = points[label == j].mean(0)
+    return centers
+
+
+def brute_silhouette(points, label):
+    d = ((points[:, None, :] - points[None]) ** 2).sum(-1)
+    scores = []
+    for i, own in enumerate(label):
+        mates = (label == own).sum() - 1
+        if mates == 0:
+            scores.append(0.0)
+            continue
+        a = d[i, label == own].sum() / mates
+        b = min(d[i, label == other].mean() for other in set(label) - {own})
+        scores.append((b - a) / max(a, b) if max(a, b) else 0.0)
+    return float(np.mean(scores))
+
+
+# Fitting
+
+
+@pytest.mark.parametrize("partitions", [1, 4])
+def test_clusters_of_the_seed_rows(spark, partitions):
+    rows = clean(seed_frame(spark), FEATURES, FOOD_BOUNDS).coalesce(1).repartition(partitions)
+    fitted = cluster_rows(rows, FEATURES)
+    groups = {}
+    for r in fitted.predictions.collect():
+        groups.setdefault(r["cluster"], []).append(r["energy_100g"])
+    assert sorted(map(sorted, groups.values())) == [
+        [50.0, 150.0, 150.0], [800.0], [1200.0], [2000.0, 2000.0], [3000.0],
+    ]
+    assert fitted.kmeans_model.summary.trainingCost == pytest.approx(0.581508, abs=1e-6)
+    assert fitted.silhouette == pytest.approx(0.551619, abs=1e-6)
+    assert dict(fitted.predictions.dtypes)["cluster"] == "int"
+
+
+def test_centers_are_the_means_of_their_members_and_cost_falls(spark):
+    lines = spark.read.parquet(f"{SMALL}/lineitem.parquet").select("l_quantity", "l_extendedprice")
+    scaled = feature_pipeline(lines.columns).fit(lines).transform(lines).select("features").persist()
+    costs = []
+    for rounds in (1, 3, 9, 300):
+        model = fit_kmeans(scaled, k=4, max_iter=rounds)
+        costs.append(model.summary.trainingCost)
+    scaled_rows = [(r["features"].toArray(), r["cluster"]) for r in model.transform(scaled).collect()]
+    for j, center in enumerate(model.clusterCenters()):
+        members = np.array([v for v, c in scaled_rows if c == j])
+        assert np.allclose(members.mean(0), center, atol=1e-2)
+    assert costs == sorted(costs, reverse=True)
+    assert {c for _, c in scaled_rows} == set(range(4))
+    scaled.unpersist()
+
+
+def test_one_cluster_is_no_clustering(spark):
+    with pytest.raises(IllegalArgumentException):
+        fit_kmeans(vectors(spark, [(1,), (2,)]), k=1)
+
+
+def test_fewer_distinct_points_than_clusters(spark):
+    model = fit_kmeans(vectors(spark, [(1,), (2,), (9,)] * 3), k=5)
+    assert len(model.clusterCenters()) == 3
+
+
+def test_equal_points_have_no_silhouette(spark):
+    df = vectors(spark, [(1, 2)] * 5)
+    model = fit_kmeans(df, k=5)
+    assert len(model.clusterCenters()) == 1
+    with pytest.raises(Exception, match="greater than one"):
+        evaluate_silhouette(model.transform(df))
+    with pytest.raises(ValueError, match="at least two"):
+        silhouette(model.transform(df), ["f0", "f1"])
+
+
+def test_infinity_is_refused_before_fitting(spark):
+    df = spark.createDataFrame([(1.0,), (math.inf,)], "a double")
+    with pytest.raises(ValueError, match="infinite values in a"):
+        cluster_rows(df, ["a"])
+
+
+def test_labels_ranked_by_center(spark):
+    df = vectors(spark, [(30,), (10,), (20,)] * 2)
+    model = fit_kmeans(df, k=3, init_steps=5)
+    found = model.transform(df).select("f0", ranked_label(model)).distinct().collect()
+    assert {r["f0"]: r["cluster"] for r in found} == {10.0: 0, 20.0: 1, 30.0: 2}
+
+
+def test_profile(spark):
+    df, names = frame(spark, [(1, 2), (3, 4), (5, 5)], [0, 0, 1])
+    assert {tuple(r) for r in cluster_profile(df, names).collect()} == {(0, 2, 2.0, 3.0), (1, 1, 5.0, 5.0)}
+
+
+def test_saved_models_label_alike(spark):
+    rows = seed_frame(spark)
+    fitted = cluster_rows(rows, FEATURES)
+    folder = work_dir(spark)
+    for _ in range(2):  # the second save replaces the first
+        save_model(fitted.kmeans_model, f"{folder}/kmeans")
+        save_model(fitted.scoring_model, f"{folder}/chain")
+    again = load_kmeans(f"{folder}/kmeans")
+    assert isinstance(again, KMeansModel)
+    assert np.array_equal(again.clusterCenters(), fitted.kmeans_model.clusterCenters())
+    scored = load_scoring_model(f"{folder}/chain").transform(rows).select(*FEATURES, "cluster")
+    assert sorted(map(tuple, scored.collect())) == sorted(
+        map(tuple, fitted.predictions.select(*FEATURES, "cluster").collect())
+    )
+    with pytest.raises(ValueError):
+        save_model(None, folder)
+
+
+# Given centres
+
+
+@pytest.mark.parametrize("unrolled", [256, 0])
+def test_lloyd_against_brute_force(spark, monkeypatch, unrolled):
+    monkeypatch.setattr(distance, "UNROLLED_TERMS", unrolled)
+    generator = np.random.default_rng(3)
+    points = generator.normal(size=(400, 3))
+    start = points[:5] + 0.01
+    df, names = frame(spark, points)
+    assert np.allclose(lloyd(df, names, start, max_iter=6), brute_lloyd(points, start, 6))
+
+
+def test_lloyd_on_an_array_column(spark):
+    generator = np.random.default_rng(4)
+    points = generator.normal(size=(200, 7))
+    df = spark.createDataFrame([(p.tolist(),) for p in points], "v array<double>")
+    start = points[:3]
+    assert np.allclose(lloyd(df, "v", start, max_iter=4), brute_lloyd(points, start, 4))
+
+
+def test_center_without_rows_stays(spark):
+    df, names = frame(spark, [(0, 0), (1, 1), (10, 10), (11, 11)])
+    found = lloyd(df, names, [(500, 500), (0, 0), (10, 10)], max_iter=5)
+    assert found == [(500.0, 500.0), (0.5, 0.5), (10.5, 10.5)]
+
+
+def test_lloyd_stops_when_nothing_moves(spark, monkeypatch):
+    from clusterloom.operators import clustering
+
+    rounds = []
+    monkeypatch.setattr(clustering, "assign", lambda *a: rounds.append(1) or assign(*a))
+    df, names = frame(spark, [(0,), (1,), (10,), (11,)])
+    assert lloyd(df, names, [(0,), (10,)], max_iter=50) == [(0.5,), (10.5,)]
+    assert len(rounds) == 2
+    rounds.clear()
+    lloyd(df, names, [(0,), (10,)], max_iter=50, tol=1.0)
+    assert len(rounds) == 1
+
+
+def test_lloyd_agrees_with_a_fitted_model_at_its_optimum(spark):
+    generator = np.random.default_rng(6)
+    points = np.concatenate([generator.normal(m, 0.3, size=(80, 2)) for m in (0, 5, 10)])
+    df, names = frame(spark, points)
+    scaled = feature_pipeline(names).fit(df).transform(df)
+    model = fit_kmeans(scaled, k=3, init_steps=5, max_iter=50)
+    from pyspark.ml.functions import vector_to_array
+
+    arrays = scaled.select(vector_to_array("features").alias("v"))
+    assert np.allclose(lloyd(arrays, "v", model.clusterCenters(), max_iter=3), model.clusterCenters(), atol=1e-9)
+
+
+def test_nearest_of_equally_near_is_the_first(spark):
+    df, names = frame(spark, [(5,), (4,), (6,)])
+    found = {r["f0"]: r["cluster"] for r in assign(df, names, [(10,), (0,), (0,)]).collect()}
+    assert found == {5.0: 0, 4.0: 1, 6.0: 0}
+
+
+def test_assign_keeps_columns_and_odd_names(spark):
+    df = spark.createDataFrame([(1.0, "x"), (9.0, "y")], "`a b``c` double, t string")
+    rows = assign(df, ["a b`c"], [(0,), (10,)], cluster_column="label")
+    assert [tuple(r) for r in rows.orderBy("t").collect()] == [(1.0, "x", 0), (9.0, "y", 1)]
+
+
+@pytest.mark.parametrize(
+    "centers", [[], [(1.0,)], [(1.0, math.nan)], [(1.0, math.inf)], [(1.0, 2.0)] * 20_000]
+)
+def test_unusable_centers(spark, centers):
+    df, names = frame(spark, [(0, 0)])
+    with pytest.raises(ValueError):
+        assign(df, names, centers)
+
+
+# Silhouette
+
+
+@pytest.mark.parametrize("unrolled", [256, 0])
+def test_silhouette_against_all_pairs(spark, monkeypatch, unrolled):
+    monkeypatch.setattr(distance, "UNROLLED_TERMS", unrolled)
+    generator = np.random.default_rng(8)
+    points = generator.normal(size=(120, 3))
+    label = generator.integers(0, 4, size=120)
+    label[0] = 9  # a cluster of one
+    df, names = frame(spark, points, label)
+    row = silhouette(df, names).first()
+    assert row["n"] == 120
+    assert row["silhouette"] == pytest.approx(brute_silhouette(points, label), abs=1e-10)
+
+
+def test_silhouette_forms_agree(spark):
+    fitted = cluster_rows(seed_frame(spark), FEATURES)
+    from pyspark.ml.functions import vector_to_array
+
+    spelled = fitted.predictions.select(vector_to_array("features").alias("v"), "cluster")
+    row = silhouette(spelled, "v", width=len(FEATURES)).first()
+    assert row["silhouette"] == pytest.approx(fitted.silhouette, abs=1e-12)
+    assert row["silhouette"] == pytest.approx(0.551619, abs=1e-6)
+
+
+def test_only_singletons_score_zero(spark):
+    df, names = frame(spark, [(0,), (5,)], [0, 1])
+    assert silhouette(df, names).first()["silhouette"] == 0.0
+
+
+def test_unlabelled_rows_are_refused(spark):
+    df = spark.createDataFrame([(1.0, 0), (2.0, 1), (3.0, None)], "v double, cluster int")
+    with pytest.raises(ValueError, match="NULL"):
+        silhouette(df, ["v"])
+
+
+def test_too_many_clusters_are_refused(spark, monkeypatch):
+    from clusterloom.operators import silhouette as module
+
+    monkeypatch.setattr(module, "MAX_CONSTANTS", 30)
+    df = spark.range(50).selectExpr("cast(id as double) as v", "cast(id as int) as cluster")
+    with pytest.raises(ValueError, match="more than 10 clusters"):
+        silhouette(df, ["v"])
