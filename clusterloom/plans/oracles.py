@@ -222,6 +222,11 @@ ORACLES: dict[str, str] = {
     "jdbc_overwrite": f"{_ORDER_FACTS} where o_totalprice > 100000",
     "jdbc_partitioned_scan": _ORDER_FACTS,
     "jdbc_predicate_scan": _ORDER_FACTS,
+    "seed_rows_inline": (
+        "select count(*) as n, " + _r("sum(size)", 3) + " as size, " + _r("sum(price)", 3) + " as price from ("
+        "select p_size::double as size, p_retailprice as price from part union all select * from (values "
+        "(10.5, 2000), (0.5, 150), (10.5, 2000), (0.5, 150), (5.0, 800), (30.0, 3000), (0.1, 50), (15.0, 1200)))"
+    ),
     "seed_if_absent": (
         f"select 1::bigint as loads, count(*) as n, sum(p_size)::bigint as p_size, {_r('sum(p_retailprice)', 2)} "
         "as p_retailprice from part"

@@ -350,7 +350,7 @@ def q_tsv_split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records proved to keep to one line each, so that files are split into tasks."""
     folder = work_dir(spark)
     write_tsv(table(spark, sf_dir, "lineitem").select(*LINE_FEATURES), folder)
-    rows = read_delimited(spark, folder, multi_line=None)
+    rows = read_delimited(spark, folder, schema=", ".join(f"{f} double" for f in LINE_FEATURES))
     return rows.agg(
         F.count(F.lit(1)).alias("n"),
         *[rounded(F.sum(F.col(f).cast("double")), f, 3) for f in LINE_FEATURES],
@@ -414,6 +414,21 @@ def q_jdbc_predicate_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _order_facts(read_jdbc(spark, target, predicates=parts))
 
 
+@registered
+def q_seed_rows_inline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fat and energy of the literal rows, as sizes and prices below those of all parts."""
+    literal = inline_rows(spark, SEED_ROWS, SEED_SCHEMA).select(
+        F.col("fat_100g").alias("size"), F.col("energy_100g").alias("price")
+    )
+    parts = table(spark, sf_dir, "part").select(
+        F.col("p_size").cast("double").alias("size"), F.col("p_retailprice").alias("price")
+    )
+    rows = parts.unionByName(literal)
+    return rows.agg(
+        F.count(F.lit(1)).alias("n"), rounded(F.sum("size"), "size", 3), rounded(F.sum("price"), "price", 3)
+    )
+
+
 @registered
 def q_seed_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The eight literal rows are too few to count as data; the file replaces them, once."""

@@ -21,6 +21,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.maxMetadataStringLength", "2000")
         .config("spark.checkpoint.dir", str(scratch / "shared"))
         .config("spark.sql.warehouse.dir", str(scratch / "warehouse"))
         .config("spark.driver.extraJavaOptions", f"-Dderby.stream.error.file={scratch}/derby.log")

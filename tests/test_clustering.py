@@ -206,6 +206,24 @@ def test_nearest_of_equally_near_is_the_first(spark):
     assert found == {5.0: 0, 4.0: 1, 6.0: 0}
 
 
+@pytest.mark.parametrize("unrolled", [256, 0])
+def test_missing_features_have_no_nearest_center(spark, monkeypatch, unrolled):
+    monkeypatch.setattr(distance, "UNROLLED_TERMS", unrolled)
+    df = spark.createDataFrame([(1.0, 1.0), (None, 1.0), (math.nan, 1.0), (9.0, 9.0)], "a double, b double")
+    found = assign(df, ["a", "b"], [(0, 0), (10, 10)]).select("cluster").collect()
+    assert [r["cluster"] for r in found] == [0, None, None, 1]
+    with pytest.raises(ValueError, match="missing features"):
+        lloyd(df, ["a", "b"], [(0, 0), (10, 10)])
+
+
+def test_arrays_of_wrong_length_are_refused(spark):
+    df = spark.createDataFrame([([1.0, 2.0],), ([1.0],), ([1.0, 2.0, 3.0],)], "v array<double>")
+    with pytest.raises(Exception, match="every array needs 2 values"):
+        assign(df, "v", [(0, 0), (10, 10)]).collect()
+    whole = spark.createDataFrame([([1.0, 2.0],), (None,), ([9.0, None],)], "v array<double>")
+    assert [r["cluster"] for r in assign(whole, "v", [(0, 0), (10, 10)]).collect()] == [0, None, None]
+
+
 def test_assign_keeps_columns_and_odd_names(spark):
     df = spark.createDataFrame([(1.0, "x"), (9.0, "y")], "`a b``c` double, t string")
     rows = assign(df, ["a b`c"], [(0,), (10,)], cluster_column="label")
