@@ -50,11 +50,11 @@ def drop_snapshot(spark: SparkSession, path: str) -> None:
 def spread(df: DataFrame) -> DataFrame:
     """Give every core a partition when a scan is too small to do so by itself.
 
-    Meant for scans that are read many times. Inputs with enough splits come
-    back unchanged, without a shuffle.
+    Meant for scans that are read many times. Inputs with splits for at least
+    half of the cores come back unchanged, without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df if df.rdd.getNumPartitions() * 2 >= cores else df.repartition(cores)
 
 
 @contextmanager

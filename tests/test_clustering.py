@@ -118,6 +118,16 @@ def test_infinity_is_refused_before_fitting(spark):
         cluster_rows(df, ["a"])
 
 
+def test_many_clusters_are_scored_by_the_evaluator(spark, monkeypatch):
+    from clusterloom.plans import job
+
+    rows = seed_frame(spark).coalesce(1)
+    short = cluster_rows(rows, FEATURES)
+    monkeypatch.setattr(job, "fits_in_a_plan", lambda *_: False)
+    monkeypatch.setattr(job, "silhouette", lambda *_: pytest.fail("called"))
+    assert cluster_rows(rows, FEATURES).silhouette == pytest.approx(short.silhouette, abs=1e-12)
+
+
 def test_labels_ranked_by_center(spark):
     df = vectors(spark, [(30,), (10,), (20,)] * 2)
     model = fit_kmeans(df, k=3, init_steps=5)
