@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +21,7 @@ from clusterloom.operators.clustering import (
     ranked_label,
 )
 from clusterloom.operators.counting import null_counts, row_count, word_count
-from clusterloom.operators.features import feature_pipeline, feature_stats, standardize
+from clusterloom.operators.features import as_vector, feature_pipeline, feature_stats, standardize
 from clusterloom.operators.limiting import collect_few, take_rows
 from clusterloom.operators.quality import dq_report
 from clusterloom.operators.silhouette import evaluate_silhouette, silhouette
@@ -267,9 +267,7 @@ def q_silhouette_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def q_silhouette_evaluator(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = assign(_standard_lines(spark, sf_dir), LINE_FEATURES, START_CENTERS[:3])
-    vectors = rows.select(
-        array_to_vector(F.array(*[F.col(f) for f in LINE_FEATURES])).alias("features"), "cluster"
-    )
+    vectors = rows.select(as_vector(LINE_FEATURES).alias("features"), "cluster")
     with persisted(vectors) as kept:
         found = evaluate_silhouette(kept)
     return inline_rows(spark, [(found,)], "silhouette double").select(
@@ -453,8 +451,7 @@ def q_seed_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_cluster_result_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = fresh_table(spark)
     rows = _lines(spark, sf_dir).drop(*LINE_KEY)
-    vector = array_to_vector(F.array(*[F.col(f).cast("double") for f in LINE_FEATURES]))
-    labelled = assign(rows, LINE_FEATURES, PRICE_CENTERS).withColumn("features", vector)
+    labelled = assign(rows, LINE_FEATURES, PRICE_CENTERS).withColumn("features", as_vector(LINE_FEATURES))
     write_result(labelled, target, LINE_FEATURES, expected_rows=rows.count())
     back = read_jdbc(spark, target)
     return back.groupBy(F.col("cluster").cast("bigint").alias("cluster")).agg(

@@ -293,3 +293,23 @@ def test_too_many_clusters_are_refused(spark, monkeypatch):
     df = spark.range(50).selectExpr("cast(id as double) as v", "cast(id as int) as cluster")
     with pytest.raises(ValueError, match="more than 10 clusters"):
         silhouette(df, ["v"])
+
+
+@pytest.mark.parametrize("bad", [None, math.nan])
+def test_incomplete_rows_are_refused_before_training(spark, bad):
+    df = spark.createDataFrame([(1.0, 1.0), (2.0, bad), (3.0, 1.0)], "a double, b double")
+    with pytest.raises(Exception):
+        cluster_rows(df, ["a", "b"])
+
+
+def test_labels_in_training_are_those_of_the_saved_chain(spark):
+    lines = spark.read.parquet(f"{SMALL}/lineitem.parquet")
+    names = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    rows = clean(lines, names, {}).persist()
+    fitted = cluster_rows(rows, names)
+    from clusterloom.operators.silhouette import evaluate_silhouette as evaluate
+
+    assert evaluate(fitted.predictions) == pytest.approx(fitted.silhouette, abs=1e-9)
+    sizes = sorted(r["count"] for r in fitted.predictions.groupBy("cluster").count().collect())
+    assert sizes == sorted(fitted.kmeans_model.summary.clusterSizes)
+    rows.unpersist()
