@@ -346,7 +346,7 @@ def q_embedding_silhouette(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def q_tsv_split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records proved to keep to one line each, so that files are split into tasks."""
-    folder = work_dir(spark)
+    folder = f"{work_dir(spark)}/tsv"
     write_tsv(table(spark, sf_dir, "lineitem").select(*LINE_FEATURES), folder)
     rows = read_delimited(spark, folder, schema=", ".join(f"{f} double" for f in LINE_FEATURES))
     return rows.agg(
@@ -357,7 +357,7 @@ def q_tsv_split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def q_tsv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = work_dir(spark)
+    folder = f"{work_dir(spark)}/tsv"
     write_tsv(table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars"), folder)
     back = read_delimited(spark, folder)
     return back.select(
@@ -431,7 +431,7 @@ def q_seed_rows_inline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_seed_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The eight literal rows are too few to count as data; the file replaces them, once."""
     features = ["p_size", "p_retailprice"]
-    folder = work_dir(spark)
+    folder = f"{work_dir(spark)}/tsv"
     write_tsv(table(spark, sf_dir, "part").select("p_name", *features), folder)
     target = fresh_table(spark)
     write_jdbc(inline_rows(spark, SEED_ROWS, SEED_SCHEMA), target)

@@ -21,14 +21,19 @@ def work_dir(spark: SparkSession) -> str:
     """A fresh folder that every executor can reach.
 
     It lies below ``spark.checkpoint.dir``. Only a session that is a single
-    process may do without that setting and gets a temporary folder.
+    process may do without that setting and gets a temporary folder. What is
+    still there when the application ends is deleted then.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         if not runs_in_one_process(spark):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         shared = tempfile.mkdtemp(prefix="clusterloom-")
-    return f"{shared.rstrip('/')}/clusterloom-{uuid.uuid4().hex}"
+    name = f"{shared.rstrip('/')}/clusterloom-{uuid.uuid4().hex}"
+    files, folder = _file_system(spark, name)
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return name
 
 
 def snapshot(df: DataFrame, path: str) -> DataFrame:
@@ -42,9 +47,15 @@ def snapshot(df: DataFrame, path: str) -> DataFrame:
 
 
 def drop_snapshot(spark: SparkSession, path: str) -> None:
-    """Delete a snapshot folder on whatever file system holds it."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    """Delete a snapshot folder."""
+    files, folder = _file_system(spark, path)
+    files.delete(folder, True)
+
+
+def _file_system(spark: SparkSession, path: str):
+    """The file system that holds ``path``, and the path in its terms."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -1,4 +1,6 @@
 import os
+import subprocess
+import sys
 
 import pytest
 from py4j.protocol import Py4JJavaError
@@ -139,6 +141,17 @@ def test_database_from_the_session(spark):
     assert (table.url, table.user, table.driver) == ("jdbc:x://host/db", "u", None)
 
 
+def test_work_dir_goes_with_the_application(tmp_path):
+    code = (
+        "from pyspark.sql import SparkSession; from clusterloom.storage import snapshot, work_dir; "
+        f"s = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false')"
+        f".config('spark.checkpoint.dir', '{tmp_path}/shared').getOrCreate(); "
+        "assert snapshot(s.range(5), work_dir(s)).count() == 5"
+    )
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=120, capture_output=True)
+    assert not list((tmp_path / "shared").glob("clusterloom-*"))
+
+
 def test_snapshot_cuts_lineage(spark):
     df = spark.range(10).selectExpr("id", "rand() as r")
     kept = snapshot(df, work_dir(spark))
