@@ -68,9 +68,19 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() * 2 >= cores else df.repartition(cores)
 
 
+def is_persisted(df: DataFrame) -> bool:
+    return df.storageLevel.useMemory or df.storageLevel.useDisk
+
+
 @contextmanager
 def persisted(df: DataFrame) -> Iterator[DataFrame]:
-    """Keep ``df`` on the executors for the passes inside the block, then release it."""
+    """Keep ``df`` on the executors for the passes inside the block, then release it.
+
+    A frame that its owner has persisted stays as it is.
+    """
+    if is_persisted(df):
+        yield df
+        return
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield kept

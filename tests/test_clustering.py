@@ -210,6 +210,17 @@ def test_lloyd_agrees_with_a_fitted_model_at_its_optimum(spark):
     assert np.allclose(lloyd(arrays, "v", model.clusterCenters(), max_iter=3), model.clusterCenters(), atol=1e-9)
 
 
+def test_lloyd_uses_the_cache_of_its_caller(spark):
+    df, names = frame(spark, [(0, 0), (1, 1), (10, 10)])
+    df = df.persist()
+    before = set(spark.sparkContext._jsc.getPersistentRDDs().keySet())
+    df.count()
+    lloyd(df, names, [(0, 0), (10, 10)], max_iter=2)
+    assert df.is_cached
+    assert len(set(spark.sparkContext._jsc.getPersistentRDDs().keySet()) - before) <= 1
+    df.unpersist()
+
+
 def test_nearest_of_equally_near_is_the_first(spark):
     df, names = frame(spark, [(5,), (4,), (6,)])
     found = {r["f0"]: r["cluster"] for r in assign(df, names, [(10,), (0,), (0,)]).collect()}
@@ -286,6 +297,12 @@ def test_unlabelled_rows_are_refused(spark):
         silhouette(df, ["v"])
 
 
+def test_incomplete_rows_have_no_silhouette(spark):
+    df = spark.createDataFrame([(1.0, 0), (2.0, 1), (None, 1)], "v double, cluster int")
+    with pytest.raises(ValueError, match="missing features"):
+        silhouette(df, ["v"])
+
+
 def test_too_many_clusters_are_refused(spark, monkeypatch):
     from clusterloom.operators import silhouette as module
 
