@@ -8,6 +8,7 @@ decides its clusters.
 from __future__ import annotations
 
 from clusterloom.plans.queries import (
+    EMBEDDING_ROUNDS,
     EMBEDDING_WIDTH,
     LINE_BOUNDS,
     LINE_FEATURES,
@@ -139,6 +140,30 @@ def _embedding_assign() -> str:
     )
 
 
+def _embedding_lloyd() -> str:
+    names = [f"e{i}" for i in range(EMBEDDING_WIDTH)]
+    columns = ", ".join(f"embedding[{i + 1}]::double as e{i}" for i in range(EMBEDDING_WIDTH))
+    distance = " + ".join(f"(p.{e} - c.{e}) * (p.{e} - c.{e})" for e in names)
+    steps = [
+        f"p as (select vec_id, label, {columns} from embeddings)",
+        "c0 as (select (dense_rank() over (order by label) - 1)::integer as cluster, * exclude (label) from "
+        f"(select label, {', '.join(f'avg({e}) as {e}' for e in names)} from p group by label))",
+    ]
+    for i in range(EMBEDDING_ROUNDS):
+        steps.append(
+            f"a{i} as (select p.vec_id, {', '.join(f'any_value(p.{e}) as {e}' for e in names)}, "
+            f"arg_min(c.cluster, {distance}) as cluster from p, c{i} c group by p.vec_id)"
+        )
+        steps.append(
+            f"c{i + 1} as (select o.cluster, "
+            + ", ".join(f"coalesce(avg(a.{e}), any_value(o.{e})) as {e}" for e in names)
+            + f" from c{i} o left join a{i} a on a.cluster = o.cluster group by o.cluster)"
+        )
+    shown = ", ".join(f"{_r(e)} as {e}" for e in names[:4])
+    norm = " + ".join(f"{e} * {e}" for e in names)
+    return f"with {', '.join(steps)} select cluster, {shown}, {_r(norm)} as norm from c{EMBEDDING_ROUNDS}"
+
+
 def _embedding_silhouette() -> str:
     names = [f"e{i}" for i in range(EMBEDDING_WIDTH)]
     columns = ", ".join(f"embedding[{i + 1}]::double as e{i}" for i in range(EMBEDDING_WIDTH))
@@ -213,6 +238,7 @@ ORACLES: dict[str, str] = {
         f"sum(count(*)) over ()::bigint as rows, 1.0::double as silhouette from {_REGIONS} group by r"
     ),
     "embedding_assign": _embedding_assign(),
+    "embedding_lloyd": _embedding_lloyd(),
     "embedding_silhouette": _embedding_silhouette(),
     "tsv_split_scan": (
         "select count(*) as n, " + ", ".join(f"{_r(f'sum({f})', 3)} as {f}" for f in LINE_FEATURES) + " from lineitem"

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clusterloom.config import FOOD_FEATURES, JobConfig
-from clusterloom.functions.distance import MAX_CONSTANTS
+from clusterloom.functions.distance import MAX_CONSTANTS, squared_norm
 from clusterloom.operators.cleaning import clean, range_profile, select_float
 from clusterloom.operators.clustering import (
     assign,
@@ -312,6 +312,7 @@ def q_saved_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 EMBEDDING_WIDTH = 64
+EMBEDDING_ROUNDS = 2
 
 
 def _label_means(vectors: DataFrame) -> list[tuple[int, tuple[float, ...]]]:
@@ -333,6 +334,18 @@ def q_embedding_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered
+def q_embedding_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Centres of the embeddings, starting from the mean of every label."""
+    vectors = spread(table(spark, sf_dir, "embeddings").select("embedding", "label"))
+    start = [mean for _, mean in _label_means(vectors)]
+    centers = lloyd(vectors, "embedding", start, max_iter=EMBEDDING_ROUNDS)
+    names = [f"e{i}" for i in range(EMBEDDING_WIDTH)]
+    return centers_frame(vectors, centers, names).select(
+        "cluster", *[rounded(F.col(name), name) for name in names[:4]], rounded(squared_norm(names), "norm")
+    )
+
+
 @registered
 def q_embedding_silhouette(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("embedding", "label")
