@@ -161,7 +161,7 @@ def test_saved_models_label_alike(spark):
 # Given centres
 
 
-@pytest.mark.parametrize("unrolled", [256, 0])
+@pytest.mark.parametrize("unrolled", [10_000, 0])
 def test_lloyd_against_brute_force(spark, monkeypatch, unrolled):
     monkeypatch.setattr(distance, "UNROLLED_TERMS", unrolled)
     generator = np.random.default_rng(3)
@@ -227,7 +227,7 @@ def test_nearest_of_equally_near_is_the_first(spark):
     assert found == {5.0: 0, 4.0: 1, 6.0: 0}
 
 
-@pytest.mark.parametrize("unrolled", [256, 0])
+@pytest.mark.parametrize("unrolled", [10_000, 0])
 def test_missing_features_have_no_nearest_center(spark, monkeypatch, unrolled):
     monkeypatch.setattr(distance, "UNROLLED_TERMS", unrolled)
     df = spark.createDataFrame([(1.0, 1.0), (None, 1.0), (math.nan, 1.0), (9.0, 9.0)], "a double, b double")
@@ -263,7 +263,7 @@ def test_unusable_centers(spark, centers):
 # Silhouette
 
 
-@pytest.mark.parametrize("unrolled", [256, 0])
+@pytest.mark.parametrize("unrolled", [10_000, 0])
 def test_silhouette_against_all_pairs(spark, monkeypatch, unrolled):
     monkeypatch.setattr(distance, "UNROLLED_TERMS", unrolled)
     generator = np.random.default_rng(8)
