@@ -16,7 +16,6 @@ from clusterloom.operators.clustering import (
     assign,
     centers_frame,
     cluster_profile,
-    fit_kmeans,
     lloyd,
     ranked_label,
 )

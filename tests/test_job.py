@@ -5,7 +5,7 @@ import sys
 import pytest
 from py4j.protocol import Py4JJavaError
 
-from clusterloom import JdbcTable, JobConfig, run_job
+from clusterloom import JobConfig, run_job
 from clusterloom.config import FOOD_BOUNDS
 from clusterloom.sinks.jdbc import write_jdbc
 from clusterloom.sinks.model import load_kmeans, load_scoring_model
