@@ -171,6 +171,19 @@ def test_lloyd_against_brute_force(spark, monkeypatch, unrolled):
     assert np.allclose(lloyd(df, names, start, max_iter=6), brute_lloyd(points, start, 6))
 
 
+def test_lloyd_survives_the_loss_of_its_cache(spark, monkeypatch):
+    from clusterloom.operators import clustering
+
+    def assign_after_loss(*arguments):
+        spark.catalog.clearCache()
+        return assign(*arguments)
+
+    monkeypatch.setattr(clustering, "assign", assign_after_loss)
+    points = np.random.default_rng(3).normal(size=(300, 3))
+    df, names = frame(spark, points)
+    assert np.allclose(lloyd(df, names, points[:4], max_iter=4), brute_lloyd(points, points[:4], 4))
+
+
 def test_lloyd_on_an_array_column(spark):
     generator = np.random.default_rng(4)
     points = generator.normal(size=(200, 7))

@@ -160,6 +160,13 @@ def test_snapshot_cuts_lineage(spark):
     assert "Range" not in kept._jdf.queryExecution().executedPlan().toString()
 
 
+def test_snapshot_does_not_ask_the_database_again(spark, jdbc_table):
+    write_jdbc(seed_frame(spark), jdbc_table)
+    kept = snapshot(read_jdbc(spark, jdbc_table), work_dir(spark))
+    write_jdbc(seed_frame(spark).limit(1), jdbc_table)
+    assert kept.count() == 8
+
+
 def test_persisted_is_released_after_a_failure(spark):
     df = spark.range(10)
     with pytest.raises(ZeroDivisionError), persisted(df) as kept:
