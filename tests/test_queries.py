@@ -14,6 +14,9 @@ from tests.conftest import DATA
 WITHOUT_SQL = {"cluster_profile"}
 
 
+SQL_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
 @pytest.fixture(scope="module")
 def duck():
     connection = duckdb.connect()
@@ -46,7 +49,8 @@ def test_query_equals_sql(spark, duck, name):
     asked = duck.execute(oracle_sql()[name])
     names = [column[0] for column in asked.description]
     expected = asked.fetchall()
-    assert sorted(result.columns) == sorted(names)
+    types = {column[0]: str(column[1]) for column in asked.description}
+    assert {name: SQL_TYPES[kind] for name, kind in result.dtypes} == types
     assert in_order(rows, result.columns) == in_order(expected, names)
 
 
