@@ -26,7 +26,7 @@ LONG_FRAGMENT = 64
 
 #: Characters that Python splits at and Unicode does not count as white space.
 _NO_SPACE = "\x1c\x1d\x1e\x1f"
-_SPACE = regex.compile("[\t-\r \x85\xa0  -     　]+")
+_SPACE = regex.compile(r"\p{White_Space}+")
 
 #: First and last of the letter ranges that Unicode 16 has and Python's 15.1 tables lack.
 _NEW_LETTERS = (

@@ -34,3 +34,19 @@ select
 from turns
 group by conv_id
 """
+
+ORACLES["op2_warc"] = """
+with payloads as (
+    select page_id, coalesce(html, '') as html, strlen(coalesce(html, ''))::bigint as payload_bytes from pages
+),
+placed as (
+    select *, max(page_id) over (partition by html) as stored from payloads
+)
+select
+    page_id,
+    payload_bytes,
+    sha1(html) as payload_digest,
+    case when payload_bytes >= 1000 and page_id <> stored then 'revisit' else 'response' end as record_type,
+    case when payload_bytes >= 1000 and page_id <> stored then stored end as refers_to
+from placed
+"""

@@ -10,11 +10,17 @@ from pyspark.sql import functions as F
 
 from clusterloom.llm.bpe import encode_texts
 from clusterloom.llm.chat import conversation_digests
+from clusterloom.llm.classifier import classify
+from clusterloom.llm.counts import count_tokens
+from clusterloom.llm.decontaminate import find_leaks
+from clusterloom.llm.rules import judge_documents
 from clusterloom.llm.secrets import scan_secrets, secrets_digest
+from clusterloom.llm.warc import archived_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 BPE_VOCABULARY = "word_bpe_49k.json"
+UNIGRAM_PIECES = "piece_bpe_32k.model"
 
 #: Turns that a careless template would take for its own marks.
 HOSTILE_TURNS = [
@@ -53,3 +59,30 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     hostile = spark.createDataFrame(HOSTILE_TURNS, turns.schema)
     return conversation_digests(turns.unionByName(hostile)).drop("rewrites_history")
+
+
+@registered
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived_pages(table(spark, sf_dir, "pages"))
+
+
+@registered
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).withColumn(
+        "failed_rules", F.array_join("failed_rules", ",")
+    )
+
+
+@registered
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(UNIGRAM_PIECES))
+
+
+@registered
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@registered
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
