@@ -13,6 +13,7 @@ from clusterloom.llm.chat import conversation_digests
 from clusterloom.llm.classifier import classify
 from clusterloom.llm.counts import count_tokens
 from clusterloom.llm.decontaminate import find_leaks
+from clusterloom.llm.jaccard import Rule, similar_documents
 from clusterloom.llm.rules import judge_documents
 from clusterloom.llm.secrets import scan_secrets, secrets_digest
 from clusterloom.llm.warc import archived_pages
@@ -86,3 +87,8 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@registered
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(table(spark, sf_dir, "documents"), Rule(words=3, percent=90))
