@@ -76,3 +76,44 @@ def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
     for step in range(size):
         total = mixed(total * np.uint64(0x9E3779B97F4A7C15) + words[step : step + n])
     return total
+
+
+#: Slots of the filter that tells which keys are asked for; its size does not depend on the input.
+FILTER_SLOTS = 1 << 24
+
+
+def slot_of(column: str) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(FILTER_SLOTS)).cast("int")
+
+
+def slot_filter(keys: DataFrame, column: str):
+    """A broadcast bit per slot: does any key fall there? Lets through every key and a few others."""
+    slots = keys.select(slot_of(column).alias("slot"))
+    marked = slots.select(
+        F.floor(F.col("slot") / 8).cast("int").alias("place"), F.expr("shiftright(128, slot % 8)").alias("mask")
+    )
+    bits = np.zeros(FILTER_SLOTS // 8, np.uint8)
+    for place, mask in marked.groupBy("place").agg(F.bit_or("mask")).toLocalIterator():
+        bits[place] = mask
+    return keys.sparkSession.sparkContext.broadcast(bits.tobytes())
+
+
+def let_through(slot: Column, held) -> Column:
+    """Is a slot marked in a filter?"""
+
+    def look(slots: pa.Array) -> pa.Array:
+        places = slots.to_numpy()
+        bits = np.frombuffer(held.value, np.uint8)[places >> 3]
+        return pa.array((bits >> (7 - (places & 7)) & 1).astype(bool))
+
+    return F.arrow_udf(look, "boolean")(slot)
+
+
+def without_ids(df: DataFrame, id_column: str, dropped: DataFrame) -> DataFrame:
+    """The rows whose id is not in the column ``dropped_id``; a missing id equals a missing one.
+
+    Most rows are passed by the filter alone; only those it marks are joined.
+    """
+    marked = let_through(slot_of(id_column), slot_filter(dropped, "dropped_id"))
+    checked = df.filter(marked).join(dropped, F.col(id_column).eqNullSafe(F.col("dropped_id")), "left_anti")
+    return df.filter(~marked).unionByName(checked)

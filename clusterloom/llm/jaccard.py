@@ -27,7 +27,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from clusterloom.llm.batches import WordHashes, shingle_hashes, slices, text_frame, texts_of
+from clusterloom.llm.batches import (
+    WordHashes,
+    let_through,
+    shingle_hashes,
+    slices,
+    slot_filter,
+    slot_of,
+    text_frame,
+    texts_of,
+    without_ids,
+)
 from clusterloom.llm.decontaminate import Lookup
 from clusterloom.llm.graph import components
 from clusterloom.storage import snapshot, work_dir
@@ -44,9 +54,6 @@ BLOCK_CLASSES = 20_000
 
 LEAF, FAN = 16, 8
 
-#: Bits of the filter that keeps documents back that no pair asks for.
-FILTER_BITS = 1 << 24
-
 
 @dataclass(frozen=True)
 class Rule:
@@ -286,47 +293,32 @@ def verified_in_batches(rule: Rule):
     return run
 
 
-def texts_in_batches(rule: Rule, held):
-    """Class and text of the documents that a filter of fixed size lets through."""
+def texts_in_batches(rule: Rule):
+    """Class and text of documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, wanted = WordHashes(), np.unpackbits(np.frombuffer(held.value, np.uint8))
+        hashes = WordHashes()
         for batch in slices(batches):
-            batch = batch.filter(pa.array(wanted[batch["slot"].to_numpy()] > 0))
             names = [class_of(shingle_set(data, hashes, rule.words)) for data in texts_of(batch["text"])]
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), batch["text"]], ["class", "text"])
 
     return run
 
 
-def slot_of(column: str) -> Column:
-    return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)).cast("int")
-
-
 def verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, rule: Rule) -> DataFrame:
     """Those of the candidate pairs (a, b) whose shingle sets are similar enough.
 
     Documents come into play only where a pair asks for their class: a filter
     of fixed size drops most others before the shuffle.
     """
-    spark = pairs.sparkSession
     asked = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
-    slots = classes.join(asked, "class").select(slot_of("first_id").alias("slot")).distinct()
-    bits = np.zeros(FILTER_BITS // 8, np.uint8)
-    marked = slots.select(
-        F.floor(F.col("slot") / 8).cast("int").alias("place"), F.expr("shiftright(128, slot % 8)").alias("mask")
-    )
-    for place, mask in marked.groupBy("place").agg(F.bit_or("mask")).toLocalIterator():
-        bits[place] = mask
-    held = spark.sparkContext.broadcast(bits.tobytes())
-    texts = rows.select(slot_of("id").alias("slot"), "text").mapInArrow(
-        texts_in_batches(rule, held), "class long, text string"
-    )
-    texts = snapshot(texts.join(asked, "class", "left_semi").dropDuplicates(["class"]), work_dir(spark))
+    held = slot_filter(classes.join(asked, "class"), "first_id")
+    texts = rows.filter(let_through(slot_of("id"), held)).mapInArrow(texts_in_batches(rule), "class long, text string")
+    texts = snapshot(texts.join(asked, "class", "left_semi").dropDuplicates(["class"]), work_dir(rows.sparkSession))
     with_b = pairs.join(texts.select(F.col("class").alias("b"), F.col("text").alias("text_b")), "b")
     with_both = with_b.join(texts.select(F.col("class").alias("a"), F.col("text").alias("text_a")), "a")
     found = with_both.sortWithinPartitions("a").mapInArrow(verified_in_batches(rule), "a long, b long")
-    return snapshot(found, work_dir(spark))
+    return snapshot(found, work_dir(rows.sparkSession))
 
 
 def star_edges(blocks: DataFrame, rule: Rule) -> DataFrame:
@@ -445,7 +437,9 @@ def similar_documents(
 
 
 def one_of_each(df: DataFrame, rule: Rule, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows of one document of each component, that with the smallest id."""
+    """The rows of one document of each component, that with the smallest id; all rows that share this id stay."""
+    spark = df.sparkSession
     found = similar_documents(df, rule, id_column, text_column)
-    kept = found.filter(F.col(id_column).eqNullSafe(F.col("component_id"))).select(F.col(id_column).alias("kept_id"))
-    return df.join(kept.distinct(), F.col(id_column).eqNullSafe(F.col("kept_id")), "left_semi")
+    dropped = found.filter(~F.col(id_column).eqNullSafe(F.col("component_id")))
+    dropped = snapshot(dropped.select(F.col(id_column).alias("dropped_id")).distinct(), work_dir(spark))
+    return without_ids(df, id_column, dropped)

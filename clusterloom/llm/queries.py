@@ -16,6 +16,7 @@ from clusterloom.llm.decontaminate import find_leaks
 from clusterloom.llm.jaccard import Rule, similar_documents
 from clusterloom.llm.rules import judge_documents
 from clusterloom.llm.secrets import scan_secrets, secrets_digest
+from clusterloom.llm.suffixes import Repeats, repeats_digest, without_repeats
 from clusterloom.llm.warc import archived_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,3 +93,8 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(table(spark, sf_dir, "documents"), Rule(words=3, percent=90))
+
+
+@registered
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats_digest(without_repeats(table(spark, sf_dir, "documents"), Repeats(length=200)))
