@@ -72,10 +72,10 @@ def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
         return words
     size = min(size, len(words))
     n = len(words) - size + 1
-    total = np.zeros(n, np.uint64)
-    for step in range(size):
-        total = mixed(total * np.uint64(0x9E3779B97F4A7C15) + words[step : step + n])
-    return total
+    total = words[:n]
+    for step in range(1, size):
+        total = total * np.uint64(0x9E3779B97F4A7C15) + words[step : step + n]
+    return mixed(total + np.uint64(size))
 
 
 #: Slots of the filter that tells which keys are asked for; its size does not depend on the input.

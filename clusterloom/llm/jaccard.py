@@ -88,66 +88,49 @@ def class_of(tokens: np.ndarray) -> int:
 
 
 def bitmap(tokens: np.ndarray) -> bytes:
-    """Each token sets a bit; the width is a power of two, four bits a token at least."""
-    width = 1 << max(6, (4 * len(tokens) - 1).bit_length())
+    """Each token sets a bit; the width is a power of two, two bits a token at least."""
+    width = 1 << max(6, (2 * len(tokens) - 1).bit_length())
     bits = np.zeros(width, bool)
     bits[(tokens & np.uint64(width - 1)).astype(np.int64)] = True
     return np.packbits(bits, bitorder="little").tobytes()
 
 
-def sets_in_batches(rule: Rule):
+def first_tokens(own: np.ndarray, size: int, hot: Lookup | None) -> np.ndarray:
+    """The first tokens of a set in the common order: by hash, hot ones last."""
+    first = own[:size]
+    if hot is not None and len(hot.places(first)[0]):
+        late = hot.places(own)[0]
+        first = np.concatenate([np.delete(own, late), own[late]])[:size]
+    return first.view(np.int64)
+
+
+def sets_in_batches(rule: Rule, held=None):
+    """Class, size, bitmap and first tokens of every text."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes, hot = WordHashes(), Lookup(held.value) if held is not None else None
         for batch in slices(batches):
             sets = [shingle_set(data, hashes, rule.words) for data in texts_of(batch["text"])]
+            first = [first_tokens(own, rule.prefix(len(own)) if len(own) else 0, hot) for own in sets]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch["id"],
-                    pa.array([class_of(s) for s in sets], pa.int64()),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([bitmap(s) if len(s) else None for s in sets], pa.binary()),
+                    pa.array([class_of(own) for own in sets], pa.int64()),
+                    pa.array([len(own) for own in sets], pa.int64()),
+                    pa.array([bitmap(own) if len(own) else None for own in sets], pa.binary()),
+                    pa.array(first, pa.list_(pa.int64())),
                 ],
-                ["id", "class", "n", "bitmap"],
-            )
-
-    return run
-
-
-def prefixes_in_batches(rule: Rule, held=None):
-    """First tokens of every set a task meets for the first time."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, seen = WordHashes(), set()
-        hot = Lookup(held.value) if held is not None else None
-        for batch in slices(batches):
-            out, sizes, tokens = [], [], []
-            for data in texts_of(batch["text"]):
-                own = shingle_set(data, hashes, rule.words)
-                name = class_of(own)
-                if len(own) == 0 or name in seen:
-                    continue
-                if len(seen) > 1_000_000:
-                    seen.clear()
-                seen.add(name)
-                size = rule.prefix(len(own))
-                first = own[:size]
-                if hot is not None and len(hot.places(first)[0]):
-                    late = hot.places(own)[0]
-                    first = np.concatenate([np.delete(own, late), own[late]])[:size]
-                out.append(name)
-                sizes.append(len(own))
-                tokens.append(first.view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out, pa.int64()), pa.array(sizes, pa.int64()), pa.array(tokens, pa.list_(pa.int64()))],
-                ["class", "n", "tokens"],
+                ["id", "class", "n", "bitmap", "tokens"],
             )
 
     return run
 
 
-def prefix_tokens(rows: DataFrame, rule: Rule, held=None) -> DataFrame:
-    found = rows.mapInArrow(prefixes_in_batches(rule, held), "class long, n long, tokens array<long>")
-    return found.select("class", "n", F.explode("tokens").alias("token"))
+def text_sets(rows: DataFrame, rule: Rule, held=None) -> DataFrame:
+    kind = rows.schema["id"].dataType.simpleString()
+    return rows.mapInArrow(
+        sets_in_batches(rule, held), f"id {kind}, class long, n long, bitmap binary, tokens array<long>"
+    )
 
 
 class Node:
@@ -354,6 +337,35 @@ def with_bitmaps(pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     return joined.mapInArrow(keep, "a long, b long")
 
 
+def of_fitting_size(blocks: DataFrame, rule: Rule) -> DataFrame:
+    """Members of blocks that another member fits in size; the nearest in size fits if any does."""
+    by_size = Window.partitionBy("token").orderBy("n", "class")
+    before, after = F.lag("n").over(by_size), F.lead("n").over(by_size)
+    near = blocks.withColumn("before", before).withColumn("after", after)
+    fits_before = F.col("before") * 100 >= F.col("n") * rule.percent
+    fits_after = F.col("n") * 100 >= F.col("after") * rule.percent
+    return near.filter(F.coalesce(fits_before, F.lit(False)) | F.coalesce(fits_after, F.lit(False))).drop("before", "after")
+
+
+def shared_prefixes(rows: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """Blocks: columns token, class and n of the classes that share a first token with one of fitting size."""
+    spark = rows.sparkSession
+    exploded = sets.select("id", "class", "n", F.explode("tokens").alias("token"))
+    counted = exploded.groupBy("token").agg(F.count(F.lit(1)).alias("documents"))
+    hot = counted.filter(F.col("documents") > HOT_DOCUMENTS).orderBy(F.desc("documents"), "token").limit(HOT_TOKENS)
+    hot = snapshot(hot.select("token"), work_dir(spark))
+    tokens = np.sort(hot.toPandas()["token"].to_numpy(np.int64).view(np.uint64))
+    # Only sets with a hot token among the first ones have others first once these go last.
+    changed = exploded.join(F.broadcast(hot), "token", "left_semi").select("id")
+    held = slot_filter(changed, "id")
+    anew = text_sets(rows.filter(let_through(slot_of("id"), held)), rule, spark.sparkContext.broadcast(tokens))
+    known = exploded.filter(~let_through(slot_of("id"), held)).select("class", "n", "token")
+    placed = known.unionByName(anew.select("class", "n", F.explode("tokens").alias("token")))
+    block = Window.partitionBy("token")
+    shared = placed.select("*", F.min("class").over(block).alias("low"), F.max("class").over(block).alias("high"))
+    return of_fitting_size(shared.filter("low <> high").select("token", "class", "n").distinct(), rule)
+
+
 def block_pairs(blocks: DataFrame, classes: DataFrame, owners: DataFrame, rule: Rule) -> DataFrame:
     """Candidate pairs between components, from the signature trees of all blocks that hold several."""
     spark = blocks.sparkSession
@@ -395,27 +407,13 @@ def similar_documents(
     """
     spark = df.sparkSession
     rows = text_frame(df, id_column, text_column)
-    kind = rows.schema["id"].dataType.simpleString()
     folder = work_dir(spark)
-    members = snapshot(
-        rows.mapInArrow(sets_in_batches(rule), f"id {kind}, class long, n long, bitmap binary"), f"{folder}/members"
-    )
+    members = snapshot(text_sets(rows, rule), f"{folder}/members")
     classes = snapshot(
         members.filter("n > 0").groupBy("class", "n").agg(F.min("id").alias("first_id"), F.first("bitmap").alias("bitmap")),
         f"{folder}/classes",
     )
-    counted = prefix_tokens(rows, rule).groupBy("token").agg(F.count(F.lit(1)).alias("documents"))
-    hot = counted.filter(F.col("documents") > HOT_DOCUMENTS).orderBy(F.desc("documents"), "token").limit(HOT_TOKENS)
-    tokens = np.sort(hot.select("token").toPandas()["token"].to_numpy(np.int64).view(np.uint64))
-    held = spark.sparkContext.broadcast(tokens)
-    block = Window.partitionBy("token")
-    shared = (
-        prefix_tokens(rows, rule, held)
-        .select("*", F.min("class").over(block).alias("low"), F.max("class").over(block).alias("high"))
-        .filter("low <> high")
-        .select("token", "class", "n")
-    )
-    blocks = snapshot(shared.distinct(), f"{folder}/blocks")
+    blocks = snapshot(shared_prefixes(rows, members, rule), f"{folder}/blocks")
     links = verified(snapshot(with_bitmaps(star_edges(blocks, rule), classes, rule), f"{folder}/stars"), classes, rows, rule)
     owners = components(links).select(F.col("node").alias("class"), "component")
     pairs = block_pairs(blocks, classes, owners, rule)
