@@ -1,12 +1,12 @@
 """The registered queries as SQL text for another engine.
 
 Written apart from the operators: only the constants of the queries are
-shared. ``cluster_profile`` has none, since the random start of K-Means
-decides its clusters.
+shared. ``cluster_profile`` asks for what no random start of K-Means changes.
 """
 
 from __future__ import annotations
 
+from clusterloom.config import FOOD_FEATURES
 from clusterloom.plans.queries import (
     EMBEDDING_ROUNDS,
     EMBEDDING_WIDTH,
@@ -14,6 +14,7 @@ from clusterloom.plans.queries import (
     LINE_FEATURES,
     LINE_KEY,
     PRICE_CENTERS,
+    SEED_ROWS,
     START_CENTERS,
     START_ROUNDS,
 )
@@ -247,11 +248,28 @@ ORACLES: dict[str, str] = {
     "jdbc_roundtrip": _ORDER_FACTS,
     "jdbc_overwrite": f"{_ORDER_FACTS} where o_totalprice > 100000",
     "jdbc_partitioned_scan": _ORDER_FACTS,
-    "jdbc_predicate_scan": _ORDER_FACTS,
+    "jdbc_predicate_scan": (
+        "select count(*) as n, sum(o_custkey)::bigint as customers, "
+        + _r("sum(o_totalprice) filter (where o_orderkey % 7 <> 0)", 2) + " as price from orders"
+    ),
     "seed_rows_inline": (
-        "select count(*) as n, " + _r("sum(size)", 3) + " as size, " + _r("sum(price)", 3) + " as price from ("
-        "select p_size::double as size, p_retailprice as price from part union all select * from (values "
-        "(10.5, 2000), (0.5, 150), (10.5, 2000), (0.5, 150), (5.0, 800), (30.0, 3000), (0.1, 50), (15.0, 1200)))"
+        f"select feature, count(*) as n, {_r('sum(value)', 3)} as value, {_r('max(value)', 3)} as largest, "
+        "coalesce(sum((select count(*) from part where p_size = floor(value))), 0)::bigint as parts from ("
+        + " union all ".join(
+            f"select '{name}' as feature, unnest([{', '.join(repr(row[i]) for row in SEED_ROWS)}])::double as value"
+            for i, name in enumerate(FOOD_FEATURES)
+        )
+        + ") group by feature"
+    ),
+    "jdbc_retried_scan": _ORDER_FACTS,
+    "seed_refused": (
+        "select count(*) as parts, 'column p_name has type string, not a numeric one' as fault, "
+        "8::bigint as rows_left from part"
+    ),
+    "cluster_profile": " union all ".join(
+        f"select '{f}' as feature, count(*) as n, 5::bigint as clusters, 0::bigint as astray, "
+        f"{_r(f'avg({f}::float::double)')} as mean from lineitem where {_IN_BOUNDS}"
+        for f in LINE_FEATURES
     ),
     "seed_if_absent": (
         f"select 1::bigint as loads, count(*) as n, sum(p_size)::bigint as p_size, {_r('sum(p_retailprice)', 2)} "

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import logging
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
+from dataclasses import replace
 
+from py4j.protocol import Py4JJavaError
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clusterloom.config import FOOD_FEATURES, JobConfig
-from clusterloom.functions.distance import MAX_CONSTANTS, squared_norm
+from clusterloom.functions.distance import as_vector, nearest, squared_norm
 from clusterloom.operators.cleaning import clean, range_profile, select_float
 from clusterloom.operators.clustering import (
     assign,
@@ -20,17 +25,25 @@ from clusterloom.operators.clustering import (
     ranked_label,
 )
 from clusterloom.operators.counting import null_counts, row_count, word_count
-from clusterloom.operators.features import as_vector, feature_pipeline, feature_stats, standardize
-from clusterloom.operators.limiting import collect_few, take_rows
+from clusterloom.operators.features import feature_pipeline, feature_stats, standardize
+from clusterloom.operators.limiting import take_rows
 from clusterloom.operators.quality import dq_report
 from clusterloom.operators.silhouette import evaluate_silhouette, silhouette
 from clusterloom.plans.job import cluster_rows, run_job
-from clusterloom.sinks.jdbc import seed_if_absent, write_jdbc, write_result
+from clusterloom.sinks.jdbc import drop_table, seed_if_absent, write_jdbc, write_result
 from clusterloom.sinks.model import load_kmeans, load_scoring_model, save_model
 from clusterloom.sources.delimited import read_delimited
 from clusterloom.sources.inline import inline_rows
-from clusterloom.sources.jdbc import JdbcTable, read_jdbc
-from clusterloom.storage import persisted, runs_in_one_process, spread, work_dir
+from clusterloom.sources.jdbc import (
+    JdbcTable,
+    is_missing_table,
+    query_jdbc,
+    read_jdbc,
+    read_jdbc_with_retry,
+)
+from clusterloom.storage import persisted, runs_in_one_process, snapshot, work_dir
+
+log = logging.getLogger(__name__)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -87,6 +100,9 @@ def rounded(value: Column, name: str, digits: int = 6) -> Column:
     return (F.round(value.cast("double"), digits) + F.lit(0.0)).alias(name)
 
 
+DERBY = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+
+
 def fresh_table(spark: SparkSession) -> JdbcTable:
     """A table name nobody uses yet, in the database the session names.
 
@@ -99,25 +115,44 @@ def fresh_table(spark: SparkSession) -> JdbcTable:
     if url is None:
         if not runs_in_one_process(spark):
             raise RuntimeError(f"set {JDBC_URL_SETTING} to a database that all executors reach")
-        return JdbcTable(
-            url=f"jdbc:derby:memory:{name};create=true",
-            table=name,
-            driver="org.apache.derby.iapi.jdbc.AutoloadedDriver",
-        )
+        return JdbcTable(url=f"jdbc:derby:memory:{name};create=true", table=name, driver=DERBY)
     prefix = JDBC_URL_SETTING.removesuffix("url")
     login = {key: spark.conf.get(prefix + key, None) for key in ("user", "password", "driver")}
     return JdbcTable(url=url, table=name, **login)
 
 
+@contextmanager
+def scratch_table(spark: SparkSession) -> Iterator[JdbcTable]:
+    """A fresh table that is dropped at the end, if it has come into being."""
+    table = fresh_table(spark)
+    try:
+        yield table
+    finally:
+        drop_quietly(spark, table)
+
+
+def drop_quietly(spark: SparkSession, table: JdbcTable) -> None:
+    try:
+        drop_table(spark, table)
+    except Py4JJavaError as error:
+        if not is_missing_table(spark, error):
+            log.warning("%s could not be dropped", table.table)
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """A result on files, so that what it was made from can go."""
+    return snapshot(df, f"{work_dir(df.sparkSession)}/result")
+
+
 def write_tsv(df: DataFrame, path: str) -> None:
-    """Many files of bounded size, since a file with multi-line records is read by one task."""
+    """Many files of few records, since a file with multi-line records is read by one task."""
     df.write.options(
         sep="\t",
         header=True,
         escape='"',
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
-        maxRecordsPerFile=1_000_000,
+        maxRecordsPerFile=20_000,
     ).csv(path)
 
 
@@ -127,7 +162,7 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _standard_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items for passes that are repeated."""
-    return spread(standardize(_lines(spark, sf_dir), LINE_FEATURES))
+    return standardize(_lines(spark, sf_dir), LINE_FEATURES)
 
 
 def _readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -276,10 +311,8 @@ def q_silhouette_evaluator(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def q_kmeans_separated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    with persisted(_regions(spark, sf_dir)) as rows:
-        fitted = cluster_rows(rows, ["x", "y"], init_steps=5)
-    labelled = fitted.scoring_model.transform(_regions(spark, sf_dir))
-    return labelled.groupBy(ranked_label(fitted.kmeans_model)).agg(
+    fitted = cluster_rows(kept(_regions(spark, sf_dir)), ["x", "y"], init_steps=5)
+    return fitted.predictions.groupBy(ranked_label(fitted.kmeans_model)).agg(
         F.count(F.lit(1)).alias("size"),
         rounded(F.avg("x"), "x"),
         rounded(F.avg("y"), "y"),
@@ -289,22 +322,44 @@ def q_kmeans_separated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def q_cluster_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = clean(table(spark, sf_dir, "lineitem"), LINE_FEATURES, LINE_BOUNDS)
-    with persisted(spread(rows)) as kept:
-        fitted = cluster_rows(kept, list(LINE_FEATURES))
-    labelled = fitted.scoring_model.transform(rows)
-    labelled = labelled.select(*LINE_FEATURES, ranked_label(fitted.kmeans_model))
-    return cluster_profile(labelled, LINE_FEATURES).withColumn("silhouette", F.lit(fitted.silhouette))
+    """Line items cleaned, standardised and clustered, as facts that hold for any random start.
+
+    Per feature the mean over the clusters, weighted by their sizes, with the
+    number of rows, of clusters, and of rows whose nearest centre is another.
+    """
+    rows = snapshot(clean(table(spark, sf_dir, "lineitem"), LINE_FEATURES, LINE_BOUNDS), f"{work_dir(spark)}/rows")
+    fitted = cluster_rows(rows, list(LINE_FEATURES))
+    placed = fitted.predictions.withColumn("z", vector_to_array("features"))
+    centers = [tuple(map(float, center)) for center in fitted.kmeans_model.clusterCenters()]
+    placed = placed.withColumn("astray", (nearest("z", centers) != F.col("cluster")).cast("int"))
+    profile = cluster_profile(placed, ("astray", *LINE_FEATURES))
+    total = F.sum("size")
+    facts = [
+        F.struct(
+            F.lit(f).alias("feature"),
+            F.col("n"),
+            F.col("clusters"),
+            F.round(F.col("astray")).cast("bigint").alias("astray"),
+            rounded(F.col(f), "mean"),
+        )
+        for f in LINE_FEATURES
+    ]
+    return profile.agg(
+        total.alias("n"),
+        F.count(F.lit(1)).alias("clusters"),
+        F.sum(F.col("astray") * F.col("size")).alias("astray"),
+        *[(F.sum(F.col(f) * F.col("size")) / total).alias(f) for f in LINE_FEATURES],
+    ).select(F.inline(F.array(*facts)))
 
 
 @registered
 def q_saved_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_dir(spark)
-    with persisted(_regions(spark, sf_dir)) as rows:
-        fitted = cluster_rows(rows, ["x", "y"], init_steps=5)
+    rows = kept(_regions(spark, sf_dir))
+    fitted = cluster_rows(rows, ["x", "y"], init_steps=5)
     save_model(fitted.kmeans_model, f"{folder}/kmeans")
     save_model(fitted.scoring_model, f"{folder}/chain")
-    labelled = load_scoring_model(f"{folder}/chain").transform(_regions(spark, sf_dir))
+    labelled = load_scoring_model(f"{folder}/chain").transform(rows)
     return labelled.groupBy(ranked_label(load_kmeans(f"{folder}/kmeans"))).agg(
         F.count(F.lit(1)).alias("size"), rounded(F.avg("x"), "x")
     )
@@ -315,11 +370,9 @@ EMBEDDING_ROUNDS = 2
 
 
 def _label_means(vectors: DataFrame) -> list[tuple[int, tuple[float, ...]]]:
-    """The mean vector of every label."""
-    means = [F.avg(F.col("embedding")[i].cast("double")) for i in range(EMBEDDING_WIDTH)]
-    grouped = vectors.groupBy("label").agg(*means).orderBy("label")
-    rows = collect_few(grouped, MAX_CONSTANTS // EMBEDDING_WIDTH, "labels")
-    return [(row[0], tuple(row[1:])) for row in rows]
+    """The mean vector of every label; they start out as centres, which live on the driver."""
+    grouped = vectors.groupBy("label").agg(Summarizer.mean(as_vector("embedding")).alias("mean"))
+    return [(row["label"], tuple(row["mean"].toArray().tolist())) for row in grouped.orderBy("label").collect()]
 
 
 @registered
@@ -336,7 +389,7 @@ def q_embedding_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def q_embedding_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Centres of the embeddings, starting from the mean of every label."""
-    vectors = spread(table(spark, sf_dir, "embeddings").select("embedding", "label"))
+    vectors = table(spark, sf_dir, "embeddings").select("embedding", "label")
     start = [mean for _, mean in _label_means(vectors)]
     centers = lloyd(vectors, "embedding", start, max_iter=EMBEDDING_ROUNDS)
     names = [f"e{i}" for i in range(EMBEDDING_WIDTH)]
@@ -348,7 +401,7 @@ def q_embedding_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def q_embedding_silhouette(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("embedding", "label")
-    score = silhouette(vectors, "embedding", cluster_column="label", width=EMBEDDING_WIDTH)
+    score = silhouette(vectors, "embedding", cluster_column="label")
     return score.select("n", rounded(F.col("silhouette"), "silhouette"))
 
 
@@ -391,51 +444,83 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
 
 
+ORDER_SPLIT = {"partition_column": "o_orderkey", "num_partitions": 8}
+
+
 @registered
 def q_jdbc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target = fresh_table(spark)
-    orders = _orders(spark, sf_dir)
-    write_jdbc(orders, target, expected_rows=orders.count())
-    return _order_facts(read_jdbc(spark, target))
+    with scratch_table(spark) as target:
+        write_jdbc(_orders(spark, sf_dir), target)
+        return kept(_order_facts(read_jdbc(spark, target, **ORDER_SPLIT)))
 
 
 @registered
 def q_jdbc_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target = fresh_table(spark)
     orders = _orders(spark, sf_dir)
-    write_jdbc(orders, target)
-    write_jdbc(orders.filter(F.col("o_totalprice") > 100_000), target, truncate=True)
-    return _order_facts(read_jdbc(spark, target))
+    with scratch_table(spark) as target:
+        write_jdbc(orders, target)
+        write_jdbc(orders.filter(F.col("o_totalprice") > 100_000), target, truncate=True)
+        return kept(_order_facts(read_jdbc(spark, target, **ORDER_SPLIT)))
 
 
 @registered
 def q_jdbc_partitioned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target = fresh_table(spark)
-    write_jdbc(_orders(spark, sf_dir), target)
-    return _order_facts(read_jdbc(spark, target, partition_column="o_orderkey", num_partitions=8))
+    with scratch_table(spark) as target:
+        write_jdbc(_orders(spark, sf_dir), target)
+        return kept(_order_facts(read_jdbc(spark, target, partition_column="o_totalprice", num_partitions=12)))
 
 
 @registered
 def q_jdbc_predicate_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target = fresh_table(spark)
-    write_jdbc(_orders(spark, sf_dir), target)
-    price = target.quoted("o_totalprice")
-    parts = [f"{price} < 100000", f"{price} >= 100000 and {price} < 300000", f"{price} >= 300000"]
-    return _order_facts(read_jdbc(spark, target, predicates=parts))
+    """Price bands at the quantiles of the table, one of them with the NULLs; every seventh price is missing."""
+    orders = _orders(spark, sf_dir).withColumn(
+        "o_totalprice", F.when(F.col("o_orderkey") % 7 != 0, F.col("o_totalprice"))
+    )
+    shares = [i / 8 for i in range(1, 8)]
+    edges = sorted(set(orders.approxQuantile("o_totalprice", shares, 0.01)))
+    with scratch_table(spark) as target:
+        write_jdbc(orders, target)
+        price = target.quoted("o_totalprice")
+        bands = [f"{price} >= {low!r} and {price} < {high!r}" for low, high in zip(edges, edges[1:])]
+        ends = [f"{price} is null or {price} < {edges[0]!r}", f"{price} >= {edges[-1]!r}"] if edges else ["1 = 1"]
+        return kept(_order_facts(read_jdbc(spark, target, predicates=[*ends, *bands])))
+
+
+@registered
+def q_jdbc_retried_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first address is that of a database which is shutting down, the second answers."""
+    down = f"jdbc:derby:memory:d_{uuid.uuid4().hex[:20]}"
+    with scratch_table(spark) as target:
+        if target.driver != DERBY:
+            raise RuntimeError("the unreachable address of this query needs a Derby database")
+        write_jdbc(_orders(spark, sf_dir), target)
+        query_jdbc(spark, replace(target, url=f"{down};create=true"), "select v as one from (values 1) as t(v)").collect()
+        rows = read_jdbc_with_retry(
+            spark,
+            replace(target, url=f"{down};shutdown=true"),
+            attempts=2,
+            delay=0.01,
+            addresses=[target.url],
+            **ORDER_SPLIT,
+        )
+        return kept(_order_facts(rows))
 
 
 @registered
 def q_seed_rows_inline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fat and energy of the literal rows, as sizes and prices below those of all parts."""
-    literal = inline_rows(spark, SEED_ROWS, SEED_SCHEMA).select(
-        F.col("fat_100g").alias("size"), F.col("energy_100g").alias("price")
-    )
-    parts = table(spark, sf_dir, "part").select(
-        F.col("p_size").cast("double").alias("size"), F.col("p_retailprice").alias("price")
+    """All six features of the literal rows, each value with the parts whose size is its whole part."""
+    literal = inline_rows(spark, SEED_ROWS, SEED_SCHEMA)
+    values = literal.select(
+        F.inline(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("value")) for f in FOOD_FEATURES]))
     )
-    rows = parts.unionByName(literal)
-    return rows.agg(
-        F.count(F.lit(1)).alias("n"), rounded(F.sum("size"), "size", 3), rounded(F.sum("price"), "price", 3)
+    sizes = table(spark, sf_dir, "part").groupBy(F.col("p_size").cast("double").alias("size"))
+    sizes = sizes.agg(F.count(F.lit(1)).alias("parts"))
+    same = values.join(sizes, F.floor(F.col("value")) == F.col("size"), "left")
+    return same.groupBy("feature").agg(
+        F.count(F.lit(1)).alias("n"),
+        rounded(F.sum("value"), "value", 3),
+        rounded(F.max("value"), "largest", 3),
+        F.coalesce(F.sum("parts"), F.lit(0)).cast("bigint").alias("parts"),
     )
 
 
@@ -445,31 +530,55 @@ def q_seed_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = ["p_size", "p_retailprice"]
     folder = f"{work_dir(spark)}/tsv"
     write_tsv(table(spark, sf_dir, "part").select("p_name", *features), folder)
-    target = fresh_table(spark)
-    write_jdbc(inline_rows(spark, SEED_ROWS, SEED_SCHEMA), target)
-    loads = [
-        seed_if_absent(spark, folder, target, features, max_rows=None),
-        seed_if_absent(spark, folder, target, features, max_rows=None),
-    ]
-    return read_jdbc(spark, target).agg(
-        F.lit(sum(loads)).cast("bigint").alias("loads"),
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.col("p_size").cast("bigint")).alias("p_size"),
-        rounded(F.sum(F.col("p_retailprice").cast("double")), "p_retailprice", 2),
-    )
+    with scratch_table(spark) as target:
+        write_jdbc(inline_rows(spark, SEED_ROWS, SEED_SCHEMA), target)
+        loads = [seed_if_absent(spark, folder, target, features) for _ in range(2)]
+        back = read_jdbc(spark, target, partition_column="p_retailprice", num_partitions=8)
+        return kept(
+            back.agg(
+                F.lit(sum(loads)).cast("bigint").alias("loads"),
+                F.count(F.lit(1)).alias("n"),
+                F.sum(F.col("p_size").cast("bigint")).alias("p_size"),
+                rounded(F.sum(F.col("p_retailprice").cast("double")), "p_retailprice", 2),
+            )
+        )
+
+
+@registered
+def q_seed_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file with a column that is no number is refused, and the table stays as it was."""
+    folder = f"{work_dir(spark)}/tsv"
+    write_tsv(table(spark, sf_dir, "part").select("p_name", "p_size"), folder)
+    with scratch_table(spark) as target:
+        write_jdbc(inline_rows(spark, SEED_ROWS, SEED_SCHEMA), target)
+        try:
+            seed_if_absent(spark, folder, target, ["p_name", "p_size"])
+            refused = ""
+        except ValueError as fault:
+            refused = str(fault)
+        left = read_jdbc(spark, target, partition_column="salt_100g", num_partitions=2).count()
+        return kept(
+            table(spark, sf_dir, "part").agg(
+                F.count(F.lit(1)).alias("parts"),
+                F.lit(refused).alias("fault"),
+                F.lit(left).cast("bigint").alias("rows_left"),
+            )
+        )
 
 
 @registered
 def q_cluster_result_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target = fresh_table(spark)
     rows = _lines(spark, sf_dir).drop(*LINE_KEY)
     labelled = assign(rows, LINE_FEATURES, PRICE_CENTERS).withColumn("features", as_vector(LINE_FEATURES))
-    write_result(labelled, target, LINE_FEATURES, expected_rows=rows.count())
-    back = read_jdbc(spark, target)
-    return back.groupBy(F.col("cluster").cast("bigint").alias("cluster")).agg(
-        F.count(F.lit(1)).alias("size"),
-        *[rounded(F.avg(F.col(f).cast("double")), f, 4) for f in LINE_FEATURES],
-    )
+    with scratch_table(spark) as target:
+        write_result(labelled, target, LINE_FEATURES)
+        back = read_jdbc(spark, target, partition_column="l_extendedprice", num_partitions=8)
+        return kept(
+            back.groupBy(F.col("cluster").cast("bigint").alias("cluster")).agg(
+                F.count(F.lit(1)).alias("size"),
+                *[rounded(F.avg(F.col(f).cast("double")), f, 4) for f in LINE_FEATURES],
+            )
+        )
 
 
 @registered
@@ -477,31 +586,34 @@ def q_clustering_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job, from a delimited file over two database tables."""
     folder = work_dir(spark)
     write_tsv(_regions(spark, sf_dir), f"{folder}/seed")
-    source = fresh_table(spark)
-    target = source.named(f"{source.table}_result")
-    result = run_job(
-        spark,
-        JobConfig(
-            source=source,
-            target=target,
-            features=("x", "y"),
-            bounds={"x": (0.0, 100.0)},
-            init_steps=5,
-            model_path=f"{folder}/kmeans",
-            seed_path=f"{folder}/seed",
-            seed_limit=None,
-            connect_attempts=1,
-        ),
-    )
-    back = read_jdbc(spark, target)
-    members = back.groupBy(F.col("x").cast("bigint").alias("region")).agg(
-        F.count(F.lit(1)).alias("size"), F.countDistinct("cluster").alias("clusters")
-    )
-    return members.select(
-        "region",
-        "size",
-        "clusters",
-        F.lit(result.rows).cast("bigint").alias("rows"),
-        rounded(F.lit(result.silhouette), "silhouette"),
-    )
-
+    with scratch_table(spark) as source:
+        target = source.named(f"{source.table}_result")
+        try:
+            result = run_job(
+                spark,
+                JobConfig(
+                    source=source,
+                    target=target,
+                    features=("x", "y"),
+                    bounds={"x": (0.0, 100.0)},
+                    init_steps=5,
+                    model_path=f"{folder}/kmeans",
+                    seed_path=f"{folder}/seed",
+                    connect_attempts=1,
+                ),
+            )
+            back = read_jdbc(spark, target, partition_column="y", num_partitions=4)
+            members = back.groupBy(F.col("x").cast("bigint").alias("region")).agg(
+                F.count(F.lit(1)).alias("size"), F.countDistinct("cluster").alias("clusters")
+            )
+            return kept(
+                members.select(
+                    "region",
+                    "size",
+                    "clusters",
+                    F.lit(result.rows).cast("bigint").alias("rows"),
+                    rounded(F.lit(result.silhouette), "silhouette"),
+                )
+            )
+        finally:
+            drop_quietly(spark, target)

@@ -58,16 +58,6 @@ def _file_system(spark: SparkSession, path: str):
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core a partition when a scan is too small to do so by itself.
-
-    Meant for scans that are read many times. Inputs with splits for at least
-    half of the cores come back unchanged, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() * 2 >= cores else df.repartition(cores)
-
-
 def is_persisted(df: DataFrame) -> bool:
     return df.storageLevel.useMemory or df.storageLevel.useDisk
 

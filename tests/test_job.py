@@ -10,7 +10,7 @@ from clusterloom.config import FOOD_BOUNDS
 from clusterloom.sinks.jdbc import write_jdbc
 from clusterloom.sinks.model import load_kmeans, load_scoring_model
 from clusterloom.sources.jdbc import read_jdbc, table_row_count
-from clusterloom.storage import persisted, snapshot, spread, work_dir
+from clusterloom.storage import persisted, snapshot, work_dir
 from tests.conftest import SMALL
 from tests.fixtures import FEATURES, seed_frame
 
@@ -49,7 +49,7 @@ def test_job_seeds_first(spark, jdbc_table, tmp_path):
     lines.select(*names).write.csv(str(path), sep="\t", header=True)
     settings = config(
         jdbc_table, tmp_path, features=tuple(names), bounds={"l_quantity": (0, 25)},
-        seed_path=str(path), seed_limit=3_000,
+        seed_path=str(path), seed_limit=3_000, seed_order=tuple(names),
         source_options={"partition_column": "l_extendedprice", "num_partitions": 3},
         target_options={"num_partitions": 2},
     )
@@ -81,6 +81,26 @@ def test_job_leaves_no_cache_and_no_snapshot(spark, jdbc_table, tmp_path):
     assert set(spark.sparkContext._jsc.getPersistentRDDs().keySet()) <= cached
 
 
+def test_source_is_read_over_several_connections(spark, jdbc_table, tmp_path, monkeypatch):
+    from clusterloom.plans import job
+
+    seen = []
+    plain = job.read_jdbc_with_retry
+    monkeypatch.setattr(job, "read_jdbc_with_retry", lambda *a, **o: seen.append(plain(*a, **o)) or seen[-1])
+    write_jdbc(seed_frame(spark), jdbc_table)
+    run_job(spark, config(jdbc_table, tmp_path))
+    run_job(spark, config(jdbc_table, tmp_path, partition_column="salt_100g", connections=2))
+    assert [df.rdd.getNumPartitions() > 1 for df in seen] == [True, True]
+
+
+def test_results_do_not_depend_on_cores(spark):
+    rows = snapshot(seed_frame(spark).coalesce(1), work_dir(spark))
+    from clusterloom.plans.job import cluster_rows
+
+    first, second = (cluster_rows(rows, FEATURES) for _ in range(2))
+    assert first.silhouette == second.silhouette
+
+
 def test_defaults():
     settings = JobConfig.from_env({"DB_URL": "jdbc:x", "DB_PASSWORD": "p"}, k=7)
     assert settings.features == tuple(FEATURES)
@@ -88,6 +108,7 @@ def test_defaults():
     assert (settings.k, settings.seed, settings.max_iter) == (7, 42, 20)
     assert settings.source.url == "jdbc:x" and settings.source.user == "SYSTEM"
     assert settings.source.table != settings.target.table
+    assert settings.seed_limit is None
     with pytest.raises(KeyError):
         JobConfig.from_env({})
 
@@ -173,9 +194,3 @@ def test_persisted_is_released_after_a_failure(spark):
         assert kept.count() == 10 and kept.is_cached
         1 / 0
     assert not df.is_cached
-
-
-def test_spread_leaves_large_scans_alone(spark):
-    assert spread(spark.range(0, 100, 1, 3)).rdd.getNumPartitions() == 8
-    wide = spark.range(0, 100, 1, 32)
-    assert spread(wide) is wide

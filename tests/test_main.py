@@ -23,6 +23,17 @@ def test_cluster(spark, monkeypatch, capsys):
     assert "silhouette=0.5" in output and "secret" not in output
 
 
+def test_options_reach_the_job(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(program, "run_job", lambda s, c: seen.append(c) or JobResult(True, 8, 0.5, "m", "m_p"))
+    monkeypatch.setenv("DB_PASSWORD", "secret")
+    options = "--seed-limit 7 --seed-order a b --partition-column a --connections 3 -k 4 --feature a b --bound b 0 9"
+    program.main(["cluster", *options.split()])
+    job = seen[0]
+    assert (job.seed_limit, job.seed_order, job.partition_column, job.connections) == (7, ("a", "b"), "a", 3)
+    assert (job.k, job.features, job.bounds) == (4, ("a", "b"), {"b": (0.0, 9.0)})
+
+
 def test_command_is_needed():
     with pytest.raises(SystemExit):
         program.main([])
