@@ -1,0 +1,42 @@
+import numpy as np
+from pyspark.sql import functions as F
+
+from clusterloom.llm.classifier import Training, believed, classify, held_out
+from tests.llm.rows import TEXTS, frame
+
+DIR = "/root/testdata/sf0.1"
+
+
+def test_reliabilities_are_recovered():
+    rnd = np.random.default_rng(1)
+    truth = rnd.random(20_000) < 0.7
+    accuracy, speaks = [0.95, 0.8, 0.65, 0.55], [0.9, 0.7, 0.8, 0.9]
+    votes = np.stack([np.where(rnd.random(len(truth)) < a, truth, ~truth).astype(int) for a in accuracy], axis=1)
+    votes[rnd.random(votes.shape) > np.array(speaks)] = -1
+    patterns, place, counts = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
+    belief = believed(patterns, counts.astype(float))[place.ravel()]
+    best_single = ((votes[:, 0] == 1) == truth).mean()
+    assert ((belief > 0.5) == truth).mean() > best_single
+    assert abs(belief.mean() - 0.7) < 0.05
+
+
+def test_held_out_accuracy(spark):
+    docs, labels = spark.read.parquet(f"{DIR}/documents.parquet"), spark.read.parquet(f"{DIR}/labels.parquet")
+    unseen = labels.filter(held_out(F.col("doc_id"), Training()))
+    found = classify(docs, labels).join(unseen, "doc_id")
+    right = lambda score, label: F.avg(((F.col(score) >= 0.5) == (F.col(label) > 0)).cast("int"))
+    good, toxic, spared = found.agg(
+        right("quality_score", "quality"),
+        right("toxic_score", "toxic"),
+        F.avg(F.when((F.col("quality") == 1) & (F.col("toxic") == 0), F.col("kept").cast("int"))),
+    ).first()
+    assert good > 0.95 and toxic > 0.94 and spared > 0.95
+
+
+def test_every_row(spark):
+    labels = spark.createDataFrame([(1, 1, 0), (1, 0, 0), (None, 1, 1), (2, None, None)], "doc_id long, quality int, toxic int")
+    rows = classify(frame(spark), labels).collect()
+    assert sorted(str(r["doc_id"]) for r in rows) == sorted(str(name) for name, _ in TEXTS)
+    assert all(0 <= r["quality_score"] <= 1 and 0 <= r["toxic_score"] <= 1 for r in rows)
+    assert classify(frame(spark, []), labels).collect() == []
+    assert len(classify(frame(spark), labels.limit(0)).collect()) == len(TEXTS)
