@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 SLICE_ROWS = 128
 
 #: Distinct words a task remembers before it starts anew.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 
 _WHITE = b" \t\n\v\f\r"
 
@@ -98,13 +98,18 @@ def slot_filter(keys: DataFrame, column: str):
     return keys.sparkSession.sparkContext.broadcast(bits.tobytes())
 
 
+def marked_slots(slots: pa.Array, bits: bytes) -> pa.Array:
+    """Which of the slots are marked in a filter."""
+    places = slots.to_numpy()
+    found = np.frombuffer(bits, np.uint8)[places >> 3]
+    return pa.array((found >> (7 - (places & 7)) & 1).astype(bool))
+
+
 def let_through(slot: Column, held) -> Column:
     """Is a slot marked in a filter?"""
 
     def look(slots: pa.Array) -> pa.Array:
-        places = slots.to_numpy()
-        bits = np.frombuffer(held.value, np.uint8)[places >> 3]
-        return pa.array((bits >> (7 - (places & 7)) & 1).astype(bool))
+        return marked_slots(slots, held.value)
 
     return F.arrow_udf(look, "boolean")(slot)
 

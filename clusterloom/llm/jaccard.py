@@ -30,6 +30,7 @@ from pyspark.sql.window import Window
 from clusterloom.llm.batches import (
     WordHashes,
     let_through,
+    marked_slots,
     shingle_hashes,
     slices,
     slot_filter,
@@ -104,12 +105,14 @@ def first_tokens(own: np.ndarray, size: int, hot: Lookup | None) -> np.ndarray:
     return first.view(np.int64)
 
 
-def sets_in_batches(rule: Rule, held=None):
-    """Class, size, bitmap and first tokens of every text."""
+def sets_in_batches(rule: Rule, held=None, wanted=None):
+    """Class, size, bitmap and first tokens of every text, or of those that a filter lets through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, hot = WordHashes(), Lookup(held.value) if held is not None else None
         for batch in slices(batches):
+            if wanted is not None:
+                batch = batch.filter(marked_slots(batch["slot"], wanted.value))
             sets = [shingle_set(data, hashes, rule.words) for data in texts_of(batch["text"])]
             first = [first_tokens(own, rule.prefix(len(own)) if len(own) else 0, hot) for own in sets]
             yield pa.RecordBatch.from_arrays(
@@ -126,10 +129,12 @@ def sets_in_batches(rule: Rule, held=None):
     return run
 
 
-def text_sets(rows: DataFrame, rule: Rule, held=None) -> DataFrame:
+def text_sets(rows: DataFrame, rule: Rule, held=None, wanted=None) -> DataFrame:
     kind = rows.schema["id"].dataType.simpleString()
+    if wanted is not None:
+        rows = rows.withColumn("slot", slot_of("id"))
     return rows.mapInArrow(
-        sets_in_batches(rule, held), f"id {kind}, class long, n long, bitmap binary, tokens array<long>"
+        sets_in_batches(rule, held, wanted), f"id {kind}, class long, n long, bitmap binary, tokens array<long>"
     )
 
 
@@ -276,12 +281,13 @@ def verified_in_batches(rule: Rule):
     return run
 
 
-def texts_in_batches(rule: Rule):
-    """Class and text of documents."""
+def texts_in_batches(rule: Rule, wanted):
+    """Class and text of the documents that a filter lets through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in slices(batches):
+            batch = batch.filter(marked_slots(batch["slot"], wanted.value))
             names = [class_of(shingle_set(data, hashes, rule.words)) for data in texts_of(batch["text"])]
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), batch["text"]], ["class", "text"])
 
@@ -296,7 +302,9 @@ def verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, rule: Rule)
     """
     asked = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
     held = slot_filter(classes.join(asked, "class"), "first_id")
-    texts = rows.filter(let_through(slot_of("id"), held)).mapInArrow(texts_in_batches(rule), "class long, text string")
+    texts = rows.select("text", slot_of("id").alias("slot")).mapInArrow(
+        texts_in_batches(rule, held), "class long, text string"
+    )
     texts = snapshot(texts.join(asked, "class", "left_semi").dropDuplicates(["class"]), work_dir(rows.sparkSession))
     with_b = pairs.join(texts.select(F.col("class").alias("b"), F.col("text").alias("text_b")), "b")
     with_both = with_b.join(texts.select(F.col("class").alias("a"), F.col("text").alias("text_a")), "a")
@@ -358,9 +366,10 @@ def shared_prefixes(rows: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     # Only sets with a hot token among the first ones have others first once these go last.
     changed = exploded.join(F.broadcast(hot), "token", "left_semi").select("id")
     held = slot_filter(changed, "id")
-    anew = text_sets(rows.filter(let_through(slot_of("id"), held)), rule, spark.sparkContext.broadcast(tokens))
-    known = exploded.filter(~let_through(slot_of("id"), held)).select("class", "n", "token")
-    placed = known.unionByName(anew.select("class", "n", F.explode("tokens").alias("token")))
+    anew = text_sets(rows, rule, spark.sparkContext.broadcast(tokens), held)
+    known = sets.filter(~let_through(slot_of("id"), held))
+    first = known.select("class", "n", "tokens").unionByName(anew.select("class", "n", "tokens"))
+    placed = first.select("class", "n", F.explode("tokens").alias("token"))
     block = Window.partitionBy("token")
     shared = placed.select("*", F.min("class").over(block).alias("low"), F.max("class").over(block).alias("high"))
     return of_fitting_size(shared.filter("low <> high").select("token", "class", "n").distinct(), rule)
