@@ -21,7 +21,6 @@ import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from clusterloom.llm.batches import let_through, mixed, slices, slot_filter, slot_of, text_frame, texts_of
 from clusterloom.storage import snapshot, work_dir
@@ -35,6 +34,9 @@ STRETCH = 1 << 16
 BUCKET_SUFFIXES = 100_000
 RUN_BYTES = 24 << 20
 
+#: Places that are known to repeat go on in rows of so many.
+KNOWN_PLACES = 10_000
+
 #: Bytes around anchors that are compared at a time.
 COMPARED_BYTES = 1 << 20
 
@@ -139,31 +141,29 @@ def shared_lengths(texts: list[bytes]) -> np.ndarray:
     return shared
 
 
-def coded_run(suffixes: list[tuple[bytes, bytes, int, int]]) -> bytes:
-    """A sorted run: suffix, bytes before the anchor, row and first start; suffixes front-coded."""
-    shared = shared_lengths([suffix for suffix, _, _, _ in suffixes])
-    rests = [suffix[same:] for (suffix, _, _, _), same in zip(suffixes, shared)]
-    befores = [before for _, before, _, _ in suffixes]
-    numbers = np.array(
-        [shared, list(map(len, rests)), list(map(len, befores)), [s[2] for s in suffixes], [s[3] for s in suffixes]],
-        np.int64,
-    )
+def coded_run(suffixes: list[tuple[bytes, bytes, int, int, int]]) -> bytes:
+    """A sorted run: suffix, bytes before the anchor, weight, row and first start; suffixes front-coded."""
+    shared = shared_lengths([entry[0] for entry in suffixes])
+    rests = [entry[0][same:] for entry, same in zip(suffixes, shared)]
+    befores = [entry[1] for entry in suffixes]
+    columns = [[entry[place] for entry in suffixes] for place in (2, 3, 4)]
+    numbers = np.array([shared, list(map(len, rests)), list(map(len, befores)), *columns], np.int64)
     return zstandard.compress(
         len(suffixes).to_bytes(8, "little") + numbers.tobytes() + b"".join(rests) + b"".join(befores), 3
     )
 
 
-def decoded_run(block: bytes) -> Iterator[tuple[int, bytes, tuple[bytes, int, int]]]:
+def decoded_run(block: bytes) -> Iterator[tuple[int, bytes, tuple[bytes, int, int, int]]]:
     """Suffixes of a run in order, each with the length it shares with the one before."""
     data = zstandard.decompress(block)
     n = int.from_bytes(data[:8], "little")
-    numbers = np.frombuffer(data, np.int64, 5 * n, 8).reshape(5, n)
-    at = 8 + 40 * n
+    numbers = np.frombuffer(data, np.int64, 6 * n, 8).reshape(6, n)
+    at = 8 + 48 * n
     before_at = at + int(numbers[1].sum())
     suffix = b""
-    for shared, rest, before, row, first in zip(*numbers.tolist()):
+    for shared, rest, before, weight, row, first in zip(*numbers.tolist()):
         suffix = suffix[:shared] + data[at : at + rest]
-        yield shared, suffix, (data[before_at : before_at + before], row, first)
+        yield shared, suffix, (data[before_at : before_at + before], weight, row, first)
         at, before_at = at + rest, before_at + before
 
 
@@ -235,10 +235,29 @@ def common_length(x: bytes, y: bytes, at: int) -> int:
 
 
 def runs_in_batches(rule: Repeats, buckets: int):
-    """Sorted front-coded runs of the suffixes at the listed anchors, by bucket."""
+    """Sorted front-coded runs of the suffixes at the listed anchors, by bucket.
+
+    Where a task meets the same bytes around an anchor again, it knows them to
+    be repeated: their places go on as they are, under a bucket below zero,
+    and the run gets the bytes once, with weight 2. So of a group of copies no
+    more travels than one entry per run.
+    """
 
-    def blocks(held: dict[int, list]) -> pa.RecordBatch:
-        out = [(bucket, coded_run(sorted(suffixes))) for bucket, suffixes in held.items()]
+    def blocks(held: dict[tuple[bytes, bytes], list[tuple[int, int]]]) -> pa.RecordBatch:
+        runs, known = {}, []
+        for (suffix, before), members in held.items():
+            bucket = xxhash.xxh3_64_intdigest(suffix[:GRAM]) % buckets
+            if len(members) > 1:
+                size = len(before) + len(suffix)
+                known += [(row, first, first + size) for row, first in members]
+                entry = (suffix, before, 2, 0, 0)
+            else:
+                entry = (suffix, before, 1, *members[0])
+            runs.setdefault(bucket, []).append(entry)
+        out = [(bucket, coded_run(sorted(entries))) for bucket, entries in runs.items()]
+        for at in range(0, len(known), KNOWN_PLACES):
+            places = np.array(known[at : at + KNOWN_PLACES], np.int64)
+            out.append((-1 - int(places[0, 0] % buckets), zstandard.compress(places.tobytes(), 3)))
         columns = list(zip(*out))
         return pa.RecordBatch.from_arrays(
             [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.binary())], ["bucket", "run"]
@@ -251,9 +270,8 @@ def runs_in_batches(rule: Repeats, buckets: int):
             for row, data, codes in rows:
                 place, first, last = unpacked(np.unique(np.array(codes, np.int64)))
                 for at, begin, end in zip(place.tolist(), first.tolist(), last.tolist()):
-                    suffix = data[at : end + rule.length]
-                    bucket = xxhash.xxh3_64_intdigest(suffix[:GRAM]) % buckets
-                    held.setdefault(bucket, []).append((suffix, data[begin:at], row, begin))
+                    key = (data[at : end + rule.length], data[begin:at])
+                    held.setdefault(key, []).append((row, begin))
                     size += end + rule.length - begin
                 if size > RUN_BYTES:
                     yield blocks(held)
@@ -272,20 +290,23 @@ class Comparison:
         self.clear()
 
     def clear(self) -> None:
-        self.group: dict[tuple[int, bytes], list[tuple[int, int]]] = {}
-        self.closed: list[tuple[int, bytes, list[tuple[int, int]]]] = []
-        self.size, self.number = 0, 0
+        self.group: dict[tuple[int, bytes], list] = {}
+        self.closed: list[tuple[bytes, list]] = []
+        self.size = 0
 
-    def add(self, suffix: bytes, before: bytes, row: int, first: int) -> None:
-        self.group.setdefault((len(before), before + suffix), []).append((row, first))
+    def add(self, suffix: bytes, before: bytes, weight: int, row: int, first: int) -> None:
+        """One more entry; one of weight 2 stands for several whose places are known to repeat."""
+        entry = self.group.setdefault((len(before), before + suffix), [0])
+        entry[0] += weight
+        if weight == 1:
+            entry.append((row, first))
 
     def close_group(self) -> None:
         """A group with one suffix has no second occurrence anywhere."""
-        if sum(map(len, self.group.values())) > 1:
-            for (_, text), members in self.group.items():
-                self.closed.append((self.number, text, members))
+        if sum(entry[0] for entry in self.group.values()) > 1:
+            for (_, text), entry in self.group.items():
+                self.closed.append((text, entry))
                 self.size += len(text)
-            self.number += 1
         self.group = {}
 
     def covered(self) -> Iterator[tuple[int, int, int]]:
@@ -293,14 +314,14 @@ class Comparison:
         if not self.closed:
             return
         length = self.rule.length
-        sizes = np.array([len(text) for _, text, _ in self.closed])
-        data = np.frombuffer(b"".join(text for _, text, _ in self.closed), np.uint8)
+        sizes = np.array([len(text) for text, _ in self.closed])
+        data = np.frombuffer(b"".join(text for text, _ in self.closed), np.uint8)
         counts = sizes - length + 1
         offsets = np.concatenate([[0], np.cumsum(sizes)[:-1]])
         owner = np.repeat(np.arange(len(sizes)), counts)
         within = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
         hashes = string_hashes(data, length)[offsets[owner] + within]
-        weight = np.array([len(members) for _, _, members in self.closed])[owner]
+        weight = np.array([entry[0] for _, entry in self.closed])[owner]
         order = np.argsort(hashes, kind="stable")
         sorted_hashes = hashes[order]
         starts = np.concatenate([[0], np.nonzero(sorted_hashes[1:] != sorted_hashes[:-1])[0] + 1])
@@ -314,7 +335,7 @@ class Comparison:
         new = np.concatenate([[True], (owner[at[1:]] != owner[at[:-1]]) | (within[at[1:]] - within[at[:-1]] > length)])
         begins, ends = at[new], at[np.concatenate([new[1:], [True]])]
         for text, start, end in zip(owner[begins].tolist(), within[begins].tolist(), within[ends].tolist()):
-            for row, first in self.closed[text][2]:
+            for row, first in self.closed[text][1][1:]:
                 yield row, first + start, first + end + length
 
 
@@ -322,13 +343,13 @@ def merged_in_batches(rule: Repeats):
     """Covered stretches from the runs of each bucket; buckets come one after another."""
 
     def merged(runs: list[bytes], comparison: Comparison) -> Iterator[tuple[int, int, int]]:
-        for shared, suffix, (before, row, first) in LoserTree([decoded_run(block) for block in runs]):
+        for shared, suffix, (before, weight, row, first) in LoserTree([decoded_run(block) for block in runs]):
             if shared < GRAM:
                 comparison.close_group()
                 if comparison.size > COMPARED_BYTES:
                     yield from comparison.covered()
                     comparison.clear()
-            comparison.add(suffix, before, row, first)
+            comparison.add(suffix, before, weight, row, first)
         comparison.close_group()
 
     def out(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
@@ -338,6 +359,10 @@ def merged_in_batches(rule: Repeats):
         comparison, bucket, runs, rows = Comparison(rule), None, [], []
         for batch in slices(batches, 16):
             for number, block in zip(batch["bucket"].to_pylist(), batch["run"].to_pylist()):
+                if number < 0:
+                    places = np.frombuffer(zstandard.decompress(block), np.int64).reshape(-1, 3)
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in places.T.copy()], ["row", "start", "end"])
+                    continue
                 if number != bucket:
                     rows += merged(runs, comparison)
                     bucket, runs = number, []
@@ -380,8 +405,10 @@ def covered_stretches(rows: DataFrame, rule: Repeats) -> DataFrame:
     """Columns row, start and end (bytes) of what strings that occur twice cover, from columns row and text."""
     folder = work_dir(rows.sparkSession)
     placed = rows.mapInArrow(anchors_in_batches(rule), "gram long, row long, code long")
+    placed = snapshot(placed, f"{folder}/anchors")
     # Only grams that are an anchor twice can belong to a string that occurs twice.
-    again = placed.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("gram"))).filter("n > 1")
+    counted = placed.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
+    again = placed.join(counted, "gram")
     codes = snapshot(again.groupBy("row").agg(F.collect_list("code").alias("codes")), f"{folder}/codes")
     total = codes.agg(F.sum(F.size("codes"))).first()[0] or 0
     buckets = max(12, -(-total // BUCKET_SUFFIXES))
