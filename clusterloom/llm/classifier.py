@@ -128,21 +128,43 @@ def believed(patterns: np.ndarray, counts: np.ndarray, rounds: int = 50, prior:
     return belief
 
 
+class Buckets(dict):
+    """Bucket of every text asked for, under the name of a kind of feature."""
+
+    def __init__(self, kind: bytes, shaped=lambda text: text):
+        super().__init__()
+        self.kind, self.shaped = kind, shaped
+
+    def __missing__(self, text: bytes) -> int:
+        if len(self) > CACHE_WORDS // 2:
+            self.clear()
+        found = self[text] = xxhash.xxh3_64_intdigest(self.kind + self.shaped(text)) & (BUCKETS - 1)
+        return found
+
+
+def collapsed(shape: bytes) -> bytes:
+    """A shape with runs of letters and digits of one kind cut down to one."""
+    while b"aa" in shape or b"AA" in shape or b"00" in shape:
+        shape = shape.replace(b"aa", b"a").replace(b"AA", b"A").replace(b"00", b"0")
+    return shape
+
+
 class Features(dict):
     """Buckets of every word asked for: the word, its first five bytes and its shape."""
 
+    def __init__(self):
+        super().__init__()
+        self.prefixes, self.shapes = Buckets(b"p"), Buckets(b"s", collapsed)
+
     def __missing__(self, word: bytes) -> tuple[int, int, int]:
         low = word.lower().translate(_TO_BLANK).strip()
-        shape = word.translate(_SHAPE)
-        while b"aa" in shape or b"AA" in shape or b"00" in shape:
-            shape = shape.replace(b"aa", b"a").replace(b"AA", b"A").replace(b"00", b"0")
-        names = (b"w" + low, b"p" + low[:5], b"s" + shape)
-        found = self[word] = tuple(xxhash.xxh3_64_intdigest(name) & (BUCKETS - 1) for name in names)
+        whole = xxhash.xxh3_64_intdigest(low) & (BUCKETS - 1)
+        found = self[word] = (whole, self.prefixes[low[:5]], self.shapes[word.translate(_SHAPE)])
         return found
 
     def of(self, data: bytes) -> np.ndarray:
         """Distinct buckets of a text."""
-        if len(self) > CACHE_WORDS // 2:
+        if len(self) > CACHE_WORDS:
             self.clear()
         words = set(data.split())
         return np.unique(np.fromiter(itertools.chain.from_iterable(map(self.__getitem__, words)), np.int32))
@@ -220,8 +242,8 @@ def weak_labels(df: DataFrame, labels: DataFrame, id_column: str, text_column: s
     for concept in CONCEPTS:
         # At most three to the number of labellers rows, whatever the input.
         found = voted.groupBy(f"v_{concept}").agg(F.count(F.lit(1)).alias("n")).toPandas()
-        patterns = np.array([list(map(int, text.split(","))) for text in found[f"v_{concept}"]]).reshape(len(found), -1)
-        belief = believed(patterns, found["n"].to_numpy(float)) if len(found) else []
+        patterns = [list(map(int, text.split(","))) for text in found[f"v_{concept}"]]
+        belief = believed(np.array(patterns), found["n"].to_numpy(float)) if patterns else []
         table = pd.DataFrame({f"v_{concept}": found[f"v_{concept}"].astype(str), f"p_{concept}": np.asarray(belief, float)})
         beliefs = spark.createDataFrame(table, f"v_{concept} string, p_{concept} double")
         voted = voted.join(F.broadcast(beliefs), f"v_{concept}")
