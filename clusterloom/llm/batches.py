@@ -8,7 +8,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows that are turned into Python values at a time.
@@ -34,8 +34,20 @@ def texts_of(column: pa.Array) -> list[bytes]:
     return [value or b"" for value in column.cast(pa.binary()).to_pylist()]
 
 
+#: Rows that Spark hands to Python at a time. Texts are long: its own 10 000 would be too many.
+BATCH_ROWS = 512
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lower the session's rows per Arrow batch to ``BATCH_ROWS``; a lower setting stays."""
+    if not 0 < int(spark.conf.get(_BATCH_SETTING)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH_SETTING, BATCH_ROWS)
+
+
 def text_frame(df: DataFrame, id_column: str, text_column: str, *more: Column) -> DataFrame:
-    """Only the columns an operator needs, under names that cannot clash."""
+    """Only the columns an operator needs, under names that cannot clash. Its batches are bounded."""
+    bound_batches(df.sparkSession)
     return df.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"), *more)
 
 
@@ -93,8 +105,8 @@ def slot_filter(keys: DataFrame, column: str):
         F.floor(F.col("slot") / 8).cast("int").alias("place"), F.expr("shiftright(128, slot % 8)").alias("mask")
     )
     bits = np.zeros(FILTER_SLOTS // 8, np.uint8)
-    for place, mask in marked.groupBy("place").agg(F.bit_or("mask")).toLocalIterator():
-        bits[place] = mask
+    found = marked.groupBy("place").agg(F.bit_or("mask").alias("mask")).toArrow()  # a row per byte at most
+    bits[found["place"].to_numpy()] = found["mask"].to_numpy()
     return keys.sparkSession.sparkContext.broadcast(bits.tobytes())
 
 

@@ -11,11 +11,14 @@ classes of a block, where they still belong to different components, are
 leaves of a signature tree: nodes hold the OR of the token bitmaps below
 them and the range of set sizes. A dual traversal skips pairs of nodes whose
 largest possible overlap is too small, and pairs within one component. What
-remains is checked on the whole shingle sets.
+remains is checked on the whole shingle sets, of every two components the
+likeliest pairs first: one link spares the others, and only where none is
+found, more of them are looked at, up to the last.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -55,6 +58,9 @@ BLOCK_CLASSES = 20_000
 
 LEAF, FAN = 16, 8
 
+#: Pairs of two components that a block gives at first, and how many times more in each further round.
+FIRST_PAIRS, MORE_PAIRS = 4, 256
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -214,8 +220,8 @@ def may_link(a: Node, b: Node, rule: Rule) -> bool:
     return largest >= rule.needed(a.low + b.low)
 
 
-def tree_pairs(root: Node, rule: Rule, crossing: bool) -> Iterator[tuple[int, int]]:
-    """Pairs of classes that may be linked, by dual traversal; ``crossing`` asks for different parts."""
+def tree_pairs(root: Node, rule: Rule, crossing: bool) -> Iterator[tuple[Node, Node]]:
+    """Leaves whose classes may be linked, by dual traversal; ``crossing`` asks for different parts."""
     todo = [(root, root)]
     while todo:
         a, b = todo.pop()
@@ -227,24 +233,56 @@ def tree_pairs(root: Node, rule: Rule, crossing: bool) -> Iterator[tuple[int, in
         elif not may_link(a, b, rule):
             continue
         elif a.leaf and b.leaf:
-            (name_a, part_a), (name_b, part_b) = a.leaf, b.leaf
-            if name_a != name_b and not (crossing and part_a == part_b):
-                yield min(name_a, name_b), max(name_a, name_b)
+            if a.leaf[0] != b.leaf[0] and not (crossing and a.leaf[1] == b.leaf[1]):
+                yield a, b
         elif a.leaf or (not b.leaf and b.high - b.low > a.high - a.low):
             todo += [(a, child) for child in b.children]
         else:
             todo += [(child, b) for child in a.children]
 
 
-def block_pairs_in_batches(rule: Rule):
+def likeness(a: Node, b: Node) -> float:
+    """How alike the bitmaps of two leaves are."""
+    width = min(a.width, b.width)
+    bits_a, bits_b = folded(a.bits, a.width, width), folded(b.bits, b.width, width)
+    return (bits_a & bits_b).bit_count() / (bits_a | bits_b).bit_count()
+
+
+def likeliest(pairs: Iterator[tuple[Node, Node]], most: int) -> Iterator[tuple[int, int, bool]]:
+    """Of the pairs between two components those most alike, and whether there are more.
+
+    One link joins two components, and then their other pairs need no look.
+    """
+    found: dict[tuple[int, int], tuple[list, int]] = {}
+    for a, b in pairs:
+        key = (min(a.owner, b.owner), max(a.owner, b.owner))
+        names = sorted((a.leaf[0], b.leaf[0]))
+        heap, seen = found.get(key, ([], 0))
+        if len(heap) < most:
+            heapq.heappush(heap, (likeness(a, b), *names))
+        else:
+            heapq.heappushpop(heap, (likeness(a, b), *names))
+        found[key] = (heap, seen + 1)
+    for heap, seen in found.values():
+        for _, a, b in heap:
+            yield a, b, seen > most
+
+
+def block_pairs_in_batches(rule: Rule, most: int):
     """Candidate pairs of blocks that come one after another, sorted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, leaves, pairs = None, [], set()
+        key, leaves, pairs = None, [], {}
 
         def closed() -> None:
             if len(leaves) > 1:
-                pairs.update(tree_pairs(grown(leaves), rule, key[1] != key[2]))
+                for a, b, more in likeliest(tree_pairs(grown(leaves), rule, key[1] != key[2]), most):
+                    pairs[a, b] = pairs.get((a, b), False) or more
+
+        def out() -> pa.RecordBatch:
+            columns = [*zip(*pairs), list(pairs.values())]
+            kinds = (pa.int64(), pa.int64(), pa.bool_())
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["a", "b", "more"])
 
         names = ("token", "i", "j", "class", "n", "component", "part", "bitmap")
         for batch in slices(batches, 4096):
@@ -254,11 +292,11 @@ def block_pairs_in_batches(rule: Rule):
                     key, leaves = (token, i, j), []
                 leaves.append(leaf(name, n, component, part, data))
             if len(pairs) > 100_000:
-                yield pa.RecordBatch.from_arrays([pa.array(column, pa.int64()) for column in zip(*pairs)], ["a", "b"])
+                yield out()
                 pairs.clear()
         closed()
         if pairs:
-            yield pa.RecordBatch.from_arrays([pa.array(column, pa.int64()) for column in zip(*pairs)], ["a", "b"])
+            yield out()
 
     return run
 
@@ -355,19 +393,19 @@ def of_fitting_size(blocks: DataFrame, rule: Rule) -> DataFrame:
     return near.filter(F.coalesce(fits_before, F.lit(False)) | F.coalesce(fits_after, F.lit(False))).drop("before", "after")
 
 
-def shared_prefixes(rows: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+def shared_prefixes(rows: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     """Blocks: columns token, class and n of the classes that share a first token with one of fitting size."""
     spark = rows.sparkSession
-    exploded = sets.select("id", "class", "n", F.explode("tokens").alias("token"))
+    exploded = classes.select("first_id", "class", "n", F.explode("tokens").alias("token"))
     counted = exploded.groupBy("token").agg(F.count(F.lit(1)).alias("documents"))
     hot = counted.filter(F.col("documents") > HOT_DOCUMENTS).orderBy(F.desc("documents"), "token").limit(HOT_TOKENS)
     hot = snapshot(hot.select("token"), work_dir(spark))
-    tokens = np.sort(hot.toPandas()["token"].to_numpy(np.int64).view(np.uint64))
+    tokens = np.sort(hot.toArrow()["token"].to_numpy().astype(np.int64).view(np.uint64))
     # Only sets with a hot token among the first ones have others first once these go last.
-    changed = exploded.join(F.broadcast(hot), "token", "left_semi").select("id")
-    held = slot_filter(changed, "id")
+    changed = exploded.join(F.broadcast(hot), "token", "left_semi")
+    held = slot_filter(changed, "first_id")
     anew = text_sets(rows, rule, spark.sparkContext.broadcast(tokens), held)
-    known = sets.filter(~let_through(slot_of("id"), held))
+    known = classes.filter(~let_through(slot_of("first_id"), held))
     first = known.select("class", "n", "tokens").unionByName(anew.select("class", "n", "tokens"))
     placed = first.select("class", "n", F.explode("tokens").alias("token"))
     block = Window.partitionBy("token")
@@ -375,8 +413,12 @@ def shared_prefixes(rows: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     return of_fitting_size(shared.filter("low <> high").select("token", "class", "n").distinct(), rule)
 
 
-def block_pairs(blocks: DataFrame, classes: DataFrame, owners: DataFrame, rule: Rule) -> DataFrame:
-    """Candidate pairs between components, from the signature trees of all blocks that hold several."""
+def block_pairs(blocks: DataFrame, classes: DataFrame, owners: DataFrame, rule: Rule, most: int) -> DataFrame:
+    """Candidate pairs between components, from the signature trees of all blocks that hold several.
+
+    Of every two components a block gives at most ``most`` pairs; ``more``
+    tells that it has others.
+    """
     spark = blocks.sparkSession
     owned = blocks.join(owners, "class", "left").withColumn("component", F.coalesce("component", "class"))
     block = Window.partitionBy("token")
@@ -396,9 +438,42 @@ def block_pairs(blocks: DataFrame, classes: DataFrame, owners: DataFrame, rule:
     marked = tiled.join(classes.select("class", "bitmap"), "class")
     ordered = marked.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
     pairs = ordered.select("token", "i", "j", "class", "n", "component", "part", "bitmap").mapInArrow(
-        block_pairs_in_batches(rule), "a long, b long"
+        block_pairs_in_batches(rule, most), "a long, b long, more boolean"
     )
-    return snapshot(pairs.distinct(), work_dir(spark))
+    return snapshot(pairs.groupBy("a", "b").agg(F.bool_or("more").alias("more")), work_dir(spark))
+
+
+def owners_of(links: DataFrame) -> DataFrame:
+    return components(links).select(F.col("node").alias("class"), "component")
+
+
+def remaining_blocks(blocks: DataFrame, pairs: DataFrame, owners: DataFrame) -> DataFrame:
+    """Members of blocks whose component belongs to a pair that had more than were looked at."""
+    asked = pairs.filter("more").select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    asked = asked.join(owners, "class", "left").select(F.coalesce("component", "class").alias("component")).distinct()
+    owned = blocks.join(owners, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    return snapshot(owned.join(asked, "component", "left_semi").select(blocks.columns), work_dir(blocks.sparkSession))
+
+
+def all_links(blocks: DataFrame, classes: DataFrame, rows: DataFrame, rule: Rule) -> DataFrame:
+    """Owners of all classes that are linked with another, so that no two linked ones differ in their owner.
+
+    Stars first; then, as long as some pair of components has pairs of
+    classes that were not looked at, the likeliest of them, ever more.
+    """
+    spark = rows.sparkSession
+    stars = snapshot(with_bitmaps(star_edges(blocks, rule), classes, rule), work_dir(spark))
+    links = verified(stars, classes, rows, rule)
+    owners, looked_at, most = snapshot(owners_of(links), work_dir(spark)), stars.select("a", "b"), FIRST_PAIRS
+    while True:
+        pairs = block_pairs(blocks, classes, owners, rule, most)
+        fresh = pairs.select("a", "b").join(looked_at, ["a", "b"], "left_anti")
+        links = links.unionByName(verified(snapshot(fresh, work_dir(spark)), classes, rows, rule))
+        owners = snapshot(owners_of(links), work_dir(spark))
+        if pairs.filter("more").isEmpty():
+            return owners
+        blocks = remaining_blocks(blocks, pairs, owners)
+        looked_at, most = looked_at.unionByName(pairs.select("a", "b")), most * MORE_PAIRS
 
 
 def similar_documents(
@@ -418,17 +493,11 @@ def similar_documents(
     rows = text_frame(df, id_column, text_column)
     folder = work_dir(spark)
     members = snapshot(text_sets(rows, rule), f"{folder}/members")
-    classes = snapshot(
-        members.filter("n > 0").groupBy("class", "n").agg(F.min("id").alias("first_id"), F.first("bitmap").alias("bitmap")),
-        f"{folder}/classes",
-    )
-    blocks = snapshot(shared_prefixes(rows, members, rule), f"{folder}/blocks")
-    links = verified(snapshot(with_bitmaps(star_edges(blocks, rule), classes, rule), f"{folder}/stars"), classes, rows, rule)
-    owners = components(links).select(F.col("node").alias("class"), "component")
-    pairs = block_pairs(blocks, classes, owners, rule)
-    if not pairs.isEmpty():
-        links = links.unionByName(verified(pairs, classes, rows, rule))
-        owners = components(links).select(F.col("node").alias("class"), "component")
+    same = F.first(F.struct("bitmap", "tokens")).alias("same")
+    classes = members.filter("n > 0").groupBy("class", "n").agg(F.min("id").alias("first_id"), same)
+    classes = snapshot(classes.select("class", "n", "first_id", "same.*"), f"{folder}/classes")
+    blocks = snapshot(shared_prefixes(rows, classes, rule), f"{folder}/blocks")
+    owners = all_links(blocks, classes, rows, rule)
     named = classes.select("class", "n", "first_id").join(owners, "class", "left")
     named = named.withColumn("component", F.coalesce("component", "class"))
     smallest = named.groupBy("component").agg(F.min("first_id").alias("component_id"))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clusterloom.llm.batches import slices, text_frame, texts_of
+from clusterloom.llm.batches import bound_batches, slices, text_frame, texts_of
 
 #: In the order in which spans that start together are listed.
 KINDS = ("assign", "access", "hex", "jwt", "der", "ssh")
@@ -248,6 +248,8 @@ def redacted_text(data: bytes, mask: str) -> str:
 def redact_secrets(df: DataFrame, text_column: str = "text", mask: str = "[SECRET]") -> DataFrame:
     """The same rows and columns with secrets in the text replaced; a missing text stays missing."""
 
+    bound_batches(df.sparkSession)
+
     def redact(column: pa.Array) -> pa.Array:
         return pa.array(
             [None if data is None else redacted_text(data, mask) for data in column.cast(pa.binary()).to_pylist()],

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clusterloom.llm.batches import let_through, mixed, slices, slot_filter, slot_of, text_frame, texts_of
@@ -408,7 +408,8 @@ def covered_stretches(rows: DataFrame, rule: Repeats) -> DataFrame:
     placed = snapshot(placed, f"{folder}/anchors")
     # Only grams that are an anchor twice can belong to a string that occurs twice.
     counted = placed.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
-    again = placed.join(counted, "gram")
+    # Read from files, both sides of the join are plain exchanges, whose hot grams Spark can split.
+    again = placed.join(snapshot(counted, f"{folder}/grams"), "gram")
     codes = snapshot(again.groupBy("row").agg(F.collect_list("code").alias("codes")), f"{folder}/codes")
     total = codes.agg(F.sum(F.size("codes"))).first()[0] or 0
     buckets = max(12, -(-total // BUCKET_SUFFIXES))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clusterloom.llm.batches import slices
+from clusterloom.llm.batches import bound_batches, slices
 from clusterloom.storage import snapshot, work_dir
 
 #: Payloads from this size on are stored once.
@@ -150,6 +150,7 @@ def write_pages(pages: DataFrame, folder: str) -> None:
     the response, the others revisit it; smaller ones are all responses. Exact
     repetitions of a row give repetitions of its record. Other columns are ignored.
     """
+    bound_batches(pages.sparkSession)
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
         F.col("url").cast("string").alias("url"),
@@ -288,6 +289,7 @@ def read_records(spark: SparkSession, folder: str) -> DataFrame:
     than stated ends the job with a message that names it. Segments of a
     record are sorted by Spark; a task holds one record at a time.
     """
+    bound_batches(spark)
     lines = spark.read.option("lineSep", MARK).text(folder).select(F.col("value").cast("binary"))
     records = lines.mapInArrow(rows_to_records, RECORDS)
     cut = records.filter("segment is not null").repartition("origin").sortWithinPartitions("origin", "segment")

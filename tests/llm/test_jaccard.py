@@ -5,7 +5,7 @@ import re
 import pytest
 
 from clusterloom.llm.graph import components
-from clusterloom.llm.jaccard import Rule, bitmap, grown, leaf, one_of_each, similar_documents, tree_pairs
+from clusterloom.llm.jaccard import Rule, bitmap, grown, leaf, likeliest, one_of_each, similar_documents, tree_pairs
 from tests.llm.rows import TEXTS, frame
 
 
@@ -86,7 +86,7 @@ def test_trees_lose_no_pair():
         sets += [np.unique(base[rnd.random(len(base)) > rnd.choice([0, 0.03, 0.1, 0.3])]) for _ in range(9)]
     sets = [s for s in sets if len(s)]
     leaves = [leaf(i, len(s), i % 40 if i < 60 else i, 0, bitmap(s)) for i, s in enumerate(sets)]
-    found = set(tree_pairs(grown(leaves), rule, False))
+    found = {tuple(sorted((a.leaf[0], b.leaf[0]))) for a, b in tree_pairs(grown(leaves), rule, False)}
     for a in range(len(sets)):
         for b in range(a + 1, len(sets)):
             linked = rule.linked(len(np.intersect1d(sets[a], sets[b])), len(sets[a]), len(sets[b]))
@@ -100,3 +100,33 @@ def test_components_of_long_paths_and_loops(spark):
     found = components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert dict(map(tuple, found)) == {**{i: 0 for i in range(61)}, 150: 150, 199: 150, 200: 150}
     assert len(found) == 64
+
+
+def test_likeliest_pairs_tell_of_others():
+    import numpy as np
+
+    sets = [np.arange(100, dtype=np.uint64) + np.uint64(shift) for shift in (0, 1, 2, 3, 4)]
+    leaves = [leaf(i, 100, i % 2, 0, bitmap(s)) for i, s in enumerate(sets)]
+    pairs = list(tree_pairs(grown(leaves), Rule(3, 80), False))
+    assert len(list(likeliest(iter(pairs), 99))) == 6 and not any(more for _, _, more in likeliest(iter(pairs), 6))
+    (one,) = likeliest(iter(pairs), 1)
+    assert abs(one[0] - one[1]) == 1 and one[2]
+
+
+def test_chains_of_components_are_followed_to_the_end(spark):
+    """Copies that drift: neighbours are linked, others not, and each block holds many of them."""
+    rnd = random.Random(12)
+    words = [f"v{i}" for i in range(400)]
+    rows = []
+    for chain in range(3):
+        text = [rnd.choice(words) for _ in range(120)]
+        for step in range(60):
+            if step % 20 != 19:
+                text = list(text)
+                text[rnd.randrange(120)] = rnd.choice(words)
+            else:
+                for at in range(0, 120, 9):
+                    text[at] = rnd.choice(words)
+            rows.append((chain * 1000 + step * 13 % 997, " ".join(text)))
+    found = similar_documents(spark.createDataFrame(rows, "doc_id long, text string"), Rule(3, 90)).collect()
+    assert sorted(map(tuple, found)) == sorted(brute(rows, Rule(3, 90)))
