@@ -21,7 +21,7 @@ def _round(edges: DataFrame) -> DataFrame:
     both = _both_ways(edges)
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"))
     large = _to_smallest(both.filter("b > a"), least).select(F.col("b").alias("a"), F.col("least").alias("b"))
-    large = large.filter("a <> b").distinct()
+    large = large.filter("a <> b")
     least = large.groupBy("a").agg(F.min("b").alias("least"))
     tied = _to_smallest(large, least)
     small = tied.select(F.col("b").alias("a"), F.col("least").alias("b")).unionByName(
@@ -30,6 +30,15 @@ def _round(edges: DataFrame) -> DataFrame:
     return small.filter("a <> b").distinct()
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Does every edge lead to a node that is the only one for its own, and leads nowhere itself?"""
+    seen = edges.select(F.col("a").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("aim")).unionByName(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("aim"))
+    )
+    found = seen.groupBy("node").agg(F.sum("out").alias("out"), F.max("aim").alias("aim"))
+    return found.filter("out > 1 or (out = 1 and aim = 1)").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``component``, its smallest reachable node, for every node of the edges (a, b).
 
@@ -42,12 +51,9 @@ def components(edges: DataFrame) -> DataFrame:
     folder = work_dir(spark)
     # A node's larger neighbours all point to it: both parts below keep a > b.
     tidy = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    current, number, before = snapshot(tidy, f"{folder}/0"), 0, None
-    while True:
-        state = current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == before:
-            break
-        before, number = state, number + 1
+    current, number = snapshot(tidy, f"{folder}/0"), 0
+    while not _settled(current):
+        number += 1
         following = snapshot(_round(current), f"{folder}/{number}")
         drop_snapshot(spark, f"{folder}/{number - 1}")
         current = following

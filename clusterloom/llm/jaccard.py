@@ -468,8 +468,10 @@ def all_links(blocks: DataFrame, classes: DataFrame, rows: DataFrame, rule: Rule
     while True:
         pairs = block_pairs(blocks, classes, owners, rule, most)
         fresh = pairs.select("a", "b").join(looked_at, ["a", "b"], "left_anti")
-        links = links.unionByName(verified(snapshot(fresh, work_dir(spark)), classes, rows, rule))
-        owners = snapshot(owners_of(links), work_dir(spark))
+        found = verified(snapshot(fresh, work_dir(spark)), classes, rows, rule)
+        if not found.isEmpty():
+            links = links.unionByName(found)
+            owners = snapshot(owners_of(links), work_dir(spark))
         if pairs.filter("more").isEmpty():
             return owners
         blocks = remaining_blocks(blocks, pairs, owners)
