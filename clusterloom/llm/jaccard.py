@@ -56,6 +56,9 @@ LEADERS = 3
 #: Blocks with more classes are split into pairs of parts.
 BLOCK_CLASSES = 20_000
 
+#: Blocks with the same lowest component go to so many tasks.
+LANES = 4
+
 LEAF, FAN = 16, 8
 
 #: Pairs of two components that a block gives at first, and how many times more in each further round.
@@ -248,10 +251,14 @@ def likeness(a: Node, b: Node) -> float:
     return (bits_a & bits_b).bit_count() / (bits_a | bits_b).bit_count()
 
 
-def likeliest(pairs: Iterator[tuple[Node, Node]], most: int) -> Iterator[tuple[int, int, bool]]:
+def likeliest(
+    pairs: Iterator[tuple[Node, Node]], most: int, before: int = 0
+) -> Iterator[tuple[int, int, bool]]:
     """Of the pairs between two components those most alike, and whether there are more.
 
     One link joins two components, and then their other pairs need no look.
+    Where no more than ``before`` pairs are found, an earlier round that gave
+    so many gave them all, since components only grow.
     """
     found: dict[tuple[int, int], tuple[list, int]] = {}
     for a, b in pairs:
@@ -264,11 +271,12 @@ def likeliest(pairs: Iterator[tuple[Node, Node]], most: int) -> Iterator[tuple[i
             heapq.heappushpop(heap, (likeness(a, b), *names))
         found[key] = (heap, seen + 1)
     for heap, seen in found.values():
-        for _, a, b in heap:
-            yield a, b, seen > most
+        if seen > before:
+            for _, a, b in heap:
+                yield a, b, seen > most
 
 
-def block_pairs_in_batches(rule: Rule, most: int):
+def block_pairs_in_batches(rule: Rule, most: int, before: int):
     """Candidate pairs of blocks that come one after another, sorted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,7 +284,7 @@ def block_pairs_in_batches(rule: Rule, most: int):
 
         def closed() -> None:
             if len(leaves) > 1:
-                for a, b, more in likeliest(tree_pairs(grown(leaves), rule, key[1] != key[2]), most):
+                for a, b, more in likeliest(tree_pairs(grown(leaves), rule, key[1] != key[2]), most, before):
                     pairs[a, b] = pairs.get((a, b), False) or more
 
         def out() -> pa.RecordBatch:
@@ -413,11 +421,13 @@ def shared_prefixes(rows: DataFrame, classes: DataFrame, rule: Rule) -> DataFram
     return of_fitting_size(shared.filter("low <> high").select("token", "class", "n").distinct(), rule)
 
 
-def block_pairs(blocks: DataFrame, classes: DataFrame, owners: DataFrame, rule: Rule, most: int) -> DataFrame:
+def block_pairs(
+    blocks: DataFrame, classes: DataFrame, owners: DataFrame, rule: Rule, most: int, before: int
+) -> DataFrame:
     """Candidate pairs between components, from the signature trees of all blocks that hold several.
 
     Of every two components a block gives at most ``most`` pairs; ``more``
-    tells that it has others.
+    tells that it has others. An earlier round has given up to ``before``.
     """
     spark = blocks.sparkSession
     owned = blocks.join(owners, "class", "left").withColumn("component", F.coalesce("component", "class"))
@@ -432,13 +442,16 @@ def block_pairs(blocks: DataFrame, classes: DataFrame, owners: DataFrame, rule:
     tiled = (
         mixed.withColumn("parts", parts)
         .withColumn("part", F.pmod(F.xxhash64("class"), F.col("parts")).cast("int"))
-        .select("token", "class", "n", "component", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
-        .select("token", "class", "n", "component", "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .withColumn("i", F.least("part", "other"))
+        .withColumn("j", F.greatest("part", "other"))
+        .withColumn("lane", F.pmod("token", F.lit(LANES)))
     )
     marked = tiled.join(classes.select("class", "bitmap"), "class")
-    ordered = marked.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+    # Blocks of one neighbourhood meet in a few tasks, where the pairs they have in common become one.
+    ordered = marked.repartition("low", "lane", "i", "j").sortWithinPartitions("token", "i", "j")
     pairs = ordered.select("token", "i", "j", "class", "n", "component", "part", "bitmap").mapInArrow(
-        block_pairs_in_batches(rule, most), "a long, b long, more boolean"
+        block_pairs_in_batches(rule, most, before), "a long, b long, more boolean"
     )
     return snapshot(pairs.groupBy("a", "b").agg(F.bool_or("more").alias("more")), work_dir(spark))
 
@@ -465,8 +478,9 @@ def all_links(blocks: DataFrame, classes: DataFrame, rows: DataFrame, rule: Rule
     stars = snapshot(with_bitmaps(star_edges(blocks, rule), classes, rule), work_dir(spark))
     links = verified(stars, classes, rows, rule)
     owners, looked_at, most = snapshot(owners_of(links), work_dir(spark)), stars.select("a", "b"), FIRST_PAIRS
+    before = 0
     while True:
-        pairs = block_pairs(blocks, classes, owners, rule, most)
+        pairs = block_pairs(blocks, classes, owners, rule, most, before)
         fresh = pairs.select("a", "b").join(looked_at, ["a", "b"], "left_anti")
         found = verified(snapshot(fresh, work_dir(spark)), classes, rows, rule)
         if not found.isEmpty():
@@ -475,7 +489,7 @@ def all_links(blocks: DataFrame, classes: DataFrame, rows: DataFrame, rule: Rule
         if pairs.filter("more").isEmpty():
             return owners
         blocks = remaining_blocks(blocks, pairs, owners)
-        looked_at, most = looked_at.unionByName(pairs.select("a", "b")), most * MORE_PAIRS
+        looked_at, before, most = looked_at.unionByName(pairs.select("a", "b")), most, most * MORE_PAIRS
 
 
 def similar_documents(
