@@ -94,7 +94,7 @@ def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
 FILTER_SLOTS = 1 << 24
 
 
-def slot_of(column: str) -> Column:
+def slot_of(column: str | Column) -> Column:
     return F.pmod(F.xxhash64(column), F.lit(FILTER_SLOTS)).cast("int")
 
 
@@ -126,11 +126,17 @@ def let_through(slot: Column, held) -> Column:
     return F.arrow_udf(look, "boolean")(slot)
 
 
-def without_ids(df: DataFrame, id_column: str, dropped: DataFrame) -> DataFrame:
-    """The rows whose id is not in the column ``dropped_id``; a missing id equals a missing one.
+def row_key(id_column: str, text_column: str) -> Column:
+    """Tells rows apart: 64 bits of id and text. Equal rows share it, and are judged alike."""
+    return F.xxhash64(F.col(id_column), F.col(text_column).cast("string"))
+
+
+def without_rows(df: DataFrame, id_column: str, text_column: str, dropped: DataFrame) -> DataFrame:
+    """The rows whose ``row_key`` is not in the column ``dropped_row``; others with their id, or without one, stay.
 
     Most rows are passed by the filter alone; only those it marks are joined.
     """
-    marked = let_through(slot_of(id_column), slot_filter(dropped, "dropped_id"))
-    checked = df.filter(marked).join(dropped, F.col(id_column).eqNullSafe(F.col("dropped_id")), "left_anti")
+    key = row_key(id_column, text_column)
+    marked = let_through(slot_of(key), slot_filter(dropped, "dropped_row"))
+    checked = df.filter(marked).join(dropped, key == F.col("dropped_row"), "left_anti")
     return df.filter(~marked).unionByName(checked)

@@ -34,13 +34,14 @@ from clusterloom.llm.batches import (
     WordHashes,
     let_through,
     marked_slots,
+    row_key,
     shingle_hashes,
     slices,
     slot_filter,
     slot_of,
     text_frame,
     texts_of,
-    without_ids,
+    without_rows,
 )
 from clusterloom.llm.decontaminate import Lookup
 from clusterloom.llm.graph import components
@@ -124,15 +125,16 @@ def sets_in_batches(rule: Rule, held=None, wanted=None):
                 batch = batch.filter(marked_slots(batch["slot"], wanted.value))
             sets = [shingle_set(data, hashes, rule.words) for data in texts_of(batch["text"])]
             first = [first_tokens(own, rule.prefix(len(own)) if len(own) else 0, hot) for own in sets]
+            names = [name for name in ("id", "row") if name in batch.schema.names]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch["id"],
+                    *[batch[name] for name in names],
                     pa.array([class_of(own) for own in sets], pa.int64()),
                     pa.array([len(own) for own in sets], pa.int64()),
                     pa.array([bitmap(own) if len(own) else None for own in sets], pa.binary()),
                     pa.array(first, pa.list_(pa.int64())),
                 ],
-                ["id", "class", "n", "bitmap", "tokens"],
+                [*names, "class", "n", "bitmap", "tokens"],
             )
 
     return run
@@ -140,10 +142,11 @@ def sets_in_batches(rule: Rule, held=None, wanted=None):
 
 def text_sets(rows: DataFrame, rule: Rule, held=None, wanted=None) -> DataFrame:
     kind = rows.schema["id"].dataType.simpleString()
+    kinds = f"id {kind}, row long" if "row" in rows.columns else f"id {kind}"
     if wanted is not None:
         rows = rows.withColumn("slot", slot_of("id"))
     return rows.mapInArrow(
-        sets_in_batches(rule, held, wanted), f"id {kind}, class long, n long, bitmap binary, tokens array<long>"
+        sets_in_batches(rule, held, wanted), f"{kinds}, class long, n long, bitmap binary, tokens array<long>"
     )
 
 
@@ -505,10 +508,16 @@ def similar_documents(
     columns are ignored. Links are exact up to equal 64-bit hashes of
     different shingles.
     """
-    spark = df.sparkSession
-    rows = text_frame(df, id_column, text_column)
-    folder = work_dir(spark)
+    found = with_components(text_frame(df, id_column, text_column), rule)
+    return found.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), "component_id")
+
+
+def with_components(rows: DataFrame, rule: Rule) -> DataFrame:
+    """Columns id, n and component_id, and row where there is one, from columns id, text and maybe row."""
+    folder = work_dir(rows.sparkSession)
+    names = [name for name in rows.columns if name != "text"]
     members = snapshot(text_sets(rows, rule), f"{folder}/members")
+    rows = rows.select("id", "text")
     same = F.first(F.struct("bitmap", "tokens")).alias("same")
     classes = members.filter("n > 0").groupBy("class", "n").agg(F.min("id").alias("first_id"), same)
     classes = snapshot(classes.select("class", "n", "first_id", "same.*"), f"{folder}/classes")
@@ -518,20 +527,20 @@ def similar_documents(
     named = named.withColumn("component", F.coalesce("component", "class"))
     smallest = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
     placed = named.join(smallest, "component").select(F.col("class").alias("of"), F.col("n").alias("of_n"), "component_id")
-    found = members.select("id", "class", "n").join(
+    found = members.select(*names, "class", "n").join(
         placed, (F.col("class") == F.col("of")) & (F.col("n") == F.col("of_n")), "left"
     )
-    return found.select(
-        F.col("id").alias(id_column),
-        F.col("n").alias("n_shingles"),
-        F.coalesce("component_id", "id").alias("component_id"),
-    )
+    return found.select(*names, "n", F.coalesce("component_id", "id").alias("component_id"))
 
 
 def one_of_each(df: DataFrame, rule: Rule, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows of one document of each component, that with the smallest id; all rows that share this id stay."""
-    spark = df.sparkSession
-    found = similar_documents(df, rule, id_column, text_column)
-    dropped = found.filter(~F.col(id_column).eqNullSafe(F.col("component_id")))
-    dropped = snapshot(dropped.select(F.col(id_column).alias("dropped_id")).distinct(), work_dir(spark))
-    return without_ids(df, id_column, dropped)
+    """The rows of one document of each component, that with the smallest id; all rows that share this id stay.
+
+    Rows go one by one: of rows without an id only those go that are copies of
+    a document with one, and of rows that share an id only those whose own
+    component has a smaller one.
+    """
+    found = with_components(text_frame(df, id_column, text_column, row_key(id_column, text_column).alias("row")), rule)
+    dropped = found.filter(~F.col("id").eqNullSafe(F.col("component_id")))
+    dropped = snapshot(dropped.select(F.col("row").alias("dropped_row")).distinct(), work_dir(df.sparkSession))
+    return without_rows(df, id_column, text_column, dropped)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clusterloom.llm.batches import slices, text_frame, texts_of
+from clusterloom.llm.batches import row_key, slices, text_frame, texts_of, without_rows
 from clusterloom.storage import snapshot, work_dir
 
 MIN_WORDS = 20
@@ -120,11 +120,12 @@ def counts_in_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
 
 
 def text_counts(df: DataFrame, id_column: str, text_column: str, stratum: Column) -> DataFrame:
-    """Columns id, stratum and the counts of the text; one pass, no shuffle."""
-    rows = text_frame(df, id_column, text_column, stratum.cast("string").alias("stratum"))
+    """Columns id, stratum, row and the counts of the text; one pass, no shuffle."""
+    key = row_key(id_column, text_column).alias("row")
+    rows = text_frame(df, id_column, text_column, stratum.cast("string").alias("stratum"), key)
     kind = rows.schema["id"].dataType.simpleString()
     return rows.mapInArrow(
-        counts_in_batches, f"id {kind}, stratum string, " + ", ".join(f"{name} long" for name in COUNTS)
+        counts_in_batches, f"id {kind}, stratum string, row long, " + ", ".join(f"{name} long" for name in COUNTS)
     )
 
 
@@ -232,6 +233,13 @@ def judge_documents(
     Repeated rows are judged each; other columns are ignored. The counts are
     written once to the shared folder; texts are read once and never shuffled.
     """
+    return judged_rows(df, labels, stratum, risk, id_column, text_column).drop("row").withColumnRenamed("id", id_column)
+
+
+def judged_rows(
+    df: DataFrame, labels: DataFrame, stratum: str, risk: Risk, id_column: str, text_column: str
+) -> DataFrame:
+    """What ``judge_documents`` gives, with the ``row_key`` of each row as column row."""
     counted = text_counts(df, id_column, text_column, F.col(stratum))
     counted = snapshot(counted, work_dir(df.sparkSession))
     marked = labels.select(F.col(id_column).alias("id"), F.col("quality").cast("int").alias("quality"))
@@ -248,8 +256,23 @@ def judge_documents(
         lambda name: name.isNotNull(),
     )
     return judged.select(
-        F.col("id").alias(id_column),
+        "id",
+        "row",
         *COUNTS,
         base_failed().alias("base_failed"),
         F.coalesce(failed, F.array().cast("array<string>")).alias("failed_rules"),
     ).withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))
+
+
+def without_rejected(
+    df: DataFrame,
+    labels: DataFrame,
+    stratum: str = "lang",
+    risk: Risk = Risk(),
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
+    """The rows that neither the base rules nor the cutoffs reject, each judged for itself, whatever its id."""
+    judged = judged_rows(df, labels, stratum, risk, id_column, text_column)
+    rejected = judged.filter(~F.col("kept")).select(F.col("row").alias("dropped_row")).distinct()
+    return without_rows(df, id_column, text_column, snapshot(rejected, work_dir(df.sparkSession)))

@@ -58,3 +58,22 @@ def test_decontamination_takes_effect(spark):
     leaky = {r["doc_id"] for r in find_leaks(docs, spark.read.parquet(f"{DIR}/benchmark.parquet")).collect()}
     kept = {r["doc_id"] for r in corpus_pipeline.decontamination(spark, docs, DIR).select("doc_id").collect()}
     assert leaky and kept == {r["doc_id"] for r in docs.select("doc_id").collect()} - leaky
+
+
+def test_only_the_judged_rows_are_dropped(spark):
+    """Rows without an id, or with a shared one, do not go with a copy, junk or a leak among them."""
+    item = spark.read.parquet(f"{DIR}/benchmark.parquet").orderBy("item_id").first()["text"]
+    # long enough for the base rules, and no two are near copies
+    clean = [" ".join(f"{chr(97 + n)}{at}x" for at in range(60)) for n in range(5)]
+    docs = frame(
+        spark,
+        [
+            (1, clean[0]), (None, clean[0]), (None, clean[1]), (None, "junk"), (None, f"{clean[2]} {item}"),
+            (2, clean[3]), (2, "junk"), (2, f"{clean[4]} {item}"), (2, clean[0]),
+        ],
+    )
+    left = lambda df: {(r["doc_id"], r["text"]) for r in df.collect()}
+    rows = left(docs)
+    assert left(corpus_pipeline.quality_rules(spark, docs, DIR)) == {row for row in rows if row[1] != "junk"}
+    assert left(corpus_pipeline.near_duplicates(spark, docs, DIR)) == rows - {(None, clean[0]), (2, clean[0]), (None, "junk")}
+    assert left(corpus_pipeline.decontamination(spark, docs, DIR)) == {row for row in rows if item not in row[1]}
