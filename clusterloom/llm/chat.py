@@ -6,9 +6,12 @@ span. A template whose output for a longer prefix does not start with its
 output for the shorter one rewrites history, which is reported. The text
 inside a span is found by rendering two probes in its place.
 
-Long conversations go through in windows of ``WINDOW`` turns, so a template
-must render a window alike wherever it stands; the first turn of a window is
-told by its position.
+Long conversations go through in windows of ``WINDOW`` turns, each rendered
+behind the window before it; a template is told the position of the first turn
+it gets. Whenever a conversation has doubled, and at its end, all its turns are
+rendered at once and compared with what the windows gave, so that the work
+stays in proportion to the conversation. What a template rewrites farther back
+than a window, and restores before the next such comparison, is not found.
 """
 
 from __future__ import annotations
@@ -97,45 +100,102 @@ def render_window(template: Template, turns: list[Turn], first: int) -> tuple[st
     return before, spans
 
 
+@dataclass
+class Window:
+    """Output of a window of turns, the span of each in it, and whether earlier output was changed."""
+
+    first: int
+    turns: list[Turn]
+    formatted: str
+    spans: list[Span | None]
+
+    @property
+    def rewrites(self) -> bool:
+        return None in self.spans
+
+
+def render_after(template: Template, before: list[Turn], turns: list[Turn], first: int) -> Window:
+    """A window of turns, rendered behind the turns before it; ``first`` is the position of its first turn."""
+    start = template(before, first - len(before)) if before else ""
+    spans, shorter = [], start
+    for size in range(1, len(turns) + 1):
+        prefix = [*before, *turns[:size]]
+        longer = template(prefix, first - len(before))
+        span = turn_span(template, prefix, first - len(before), shorter, longer)
+        spans.append(span and Span(*(at - len(start) for at in (span.start, span.end, span.text_start, span.text_end))))
+        shorter = longer
+    if shorter.startswith(start):
+        return Window(first, turns, shorter[len(start) :], spans)
+    # The turns before are no longer what they were: the window by itself, without spans.
+    return Window(first, turns, template(turns, first), [None] * len(turns))
+
+
 class Conversation:
-    """Digests of a conversation that comes turn by turn; holds one window of turns."""
+    """A conversation that comes turn by turn; holds its turns and their output."""
 
     def __init__(self, conv: int | None, template: Template):
-        self.conv, self.template, self.window = conv, template, []
-        self.turns, self.loss = hashlib.sha256(), hashlib.sha256()
-        self.n_turns = self.loss_chars = self.formatted_chars = 0
-        self.rewrites = False
+        self.conv, self.template = conv, template
+        self.turns: list[Turn] = []
+        self.windows: list[Window] = []
+        self.checked = 0
 
     def add(self, role: str, text: str) -> None:
-        self.window.append((role, text))
-        if len(self.window) == WINDOW:
+        self.turns.append((role, text))
+        if len(self.turns) % WINDOW == 0:
             self.flush()
+            if len(self.windows) >= 2 * self.checked:
+                self.check()
 
     def flush(self) -> None:
-        formatted, spans = render_window(self.template, self.window, self.n_turns)
-        self.formatted_chars += len(formatted)
-        self.n_turns += len(self.window)
-        for (role, text), span in zip(read_turns(formatted), spans):
-            self.turns.update(f"{role}\n{text}\n".encode())
-            if span is None:
-                self.rewrites = True
-            elif role == "assistant":
-                trained = unescape(formatted[span.text_start : span.text_end])
-                self.loss_chars += len(trained)
-                self.loss.update(trained.encode())
-        self.window = []
+        first = len(self.windows) * WINDOW
+        before = self.turns[max(0, first - WINDOW) : first]
+        self.windows.append(render_after(self.template, before, self.turns[first:], first))
+
+    def check(self) -> None:
+        """Compare with all turns rendered at once; from the first difference on, no span holds."""
+        self.checked = len(self.windows)
+        if len(self.windows) == 1:
+            return
+        formatted = "".join(window.formatted for window in self.windows)
+        whole = self.template(self.turns, 0)
+        if whole == formatted:
+            return
+        same, at = len(os.path.commonprefix([whole, formatted])), 0
+        for window in self.windows:
+            at += len(window.formatted)
+            if at > same or window is self.windows[-1]:
+                window.spans = [None] * len(window.turns)
+
+    def finished(self) -> list[Window]:
+        if len(self.turns) % WINDOW:
+            self.flush()
+        if self.checked < len(self.windows):
+            self.check()
+        return self.windows
 
     def result(self) -> dict:
-        if self.window:
-            self.flush()
+        turns, loss = hashlib.sha256(), hashlib.sha256()
+        n_turns = loss_chars = formatted_chars = 0
+        windows = self.finished()
+        for window in windows:
+            read = read_turns(window.formatted)
+            formatted_chars += len(window.formatted)
+            n_turns += len(read)
+            for role, text in read:
+                turns.update(f"{role}\n{text}\n".encode())
+            for (role, _), span in zip(window.turns, window.spans):
+                if role == "assistant" and span:
+                    trained = unescape(window.formatted[span.text_start : span.text_end])
+                    loss_chars += len(trained)
+                    loss.update(trained.encode())
         return {
             "conv": self.conv,
-            "n_turns": self.n_turns,
-            "turns_sha256": self.turns.hexdigest(),
-            "loss_chars": self.loss_chars,
-            "loss_sha256": self.loss.hexdigest(),
-            "formatted_chars": self.formatted_chars,
-            "rewrites_history": self.rewrites,
+            "n_turns": n_turns,
+            "turns_sha256": turns.hexdigest(),
+            "loss_chars": loss_chars,
+            "loss_sha256": loss.hexdigest(),
+            "formatted_chars": formatted_chars,
+            "rewrites_history": any(window.rewrites for window in windows),
         }
 
 
@@ -174,16 +234,16 @@ def conversations_in_batches(template: Template):
 def windows_in_batches(template: Template):
     """Each window of turns as a row of formatted text with the spans of its loss mask."""
 
-    def rows(conv: int | None, first: int, turns: list[Turn]) -> dict:
-        formatted, spans = render_window(template, turns, first)
-        trained = [span for (role, _), span in zip(turns, spans) if role == "assistant" and span]
-        return {
-            "conv": conv,
-            "first_turn": first,
-            "formatted": formatted,
-            "loss_spans": [{"start": s.text_start, "end": s.text_end} for s in trained],
-            "rewrites_history": None in spans,
-        }
+    def rows(conversation: Conversation) -> Iterator[dict]:
+        for window in conversation.finished():
+            trained = [span for (role, _), span in zip(window.turns, window.spans) if role == "assistant" and span]
+            yield {
+                "conv": conversation.conv,
+                "first_turn": window.first,
+                "formatted": window.formatted,
+                "loss_spans": [{"start": s.text_start, "end": s.text_end} for s in trained],
+                "rewrites_history": window.rewrites,
+            }
 
     kind = pa.schema(
         [
@@ -196,19 +256,18 @@ def windows_in_batches(template: Template):
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        conv, first, turns, begun = None, 0, [], False
+        current = None
         for batch in slices(batches, 1024):
             done = []
-            for next_conv, role, text in zip(*(batch[name].to_pylist() for name in ("conv", "role", "text"))):
-                if begun and next_conv != conv or len(turns) == WINDOW:
-                    done.append(rows(conv, first, turns))
-                    first, turns = (first + len(turns) if next_conv == conv else 0), []
-                conv, begun = next_conv, True
-                turns.append((role or "", text or ""))
+            for conv, role, text in zip(*(batch[name].to_pylist() for name in ("conv", "role", "text"))):
+                if current is None or current.conv != conv:
+                    done += rows(current) if current is not None else ()
+                    current = Conversation(conv, template)
+                current.add(role or "", text or "")
             if done:
                 yield pa.RecordBatch.from_pylist(done, kind)
-        if turns:
-            yield pa.RecordBatch.from_pylist([rows(conv, first, turns)], kind)
+        if current is not None:
+            yield pa.RecordBatch.from_pylist(list(rows(current)), kind)
 
     return run
 
@@ -232,7 +291,8 @@ def format_conversations(df: DataFrame, template: Template = marked_turns) -> Da
     role or text is empty, a missing conv_id is a conversation of its own, a
     missing turn comes first. ``loss_spans`` mark the texts of assistants.
     ``rewrites_history`` tells that the template changed what it had rendered
-    for a shorter prefix; such turns get no span. Memory: a window of turns.
+    for a shorter prefix, or renders the whole conversation otherwise than its
+    windows; such turns get no span. Memory: a conversation and its output.
     """
     schema = (
         "conv long, first_turn long, formatted string, "
@@ -246,8 +306,8 @@ def conversation_digests(df: DataFrame, template: Template = marked_turns) -> Da
     """One row per conversation with digests read back from the formatted output.
 
     Rows are taken as by ``format_conversations``; the template must render
-    what ``read_turns`` reads. A conversation streams through its task, which
-    holds one window of it.
+    what ``read_turns`` reads, from which turns are also counted. A task holds
+    one conversation and its output.
     """
     found = _ordered(df).mapInArrow(conversations_in_batches(template), RESULT)
     return found.withColumnRenamed("conv", "conv_id")

@@ -78,3 +78,32 @@ def test_a_text_like_the_end_mark_is_told_from_it():
 
     _, spans = render_window(bare, [("user", "q"), ("assistant", "##a##")], 0)
     assert bare([("user", "q"), ("assistant", "##a##")], 0)[spans[1].text_start : spans[1].text_end] == "##a##"
+
+
+def test_rewrites_of_earlier_windows_are_found_out(spark):
+    """Old turns are trimmed only once a conversation is longer than a window, or than several."""
+
+    def trimming(most):
+        def template(turns, first):
+            return "".join(
+                f"<|im_start|>{role}\n{text if first + len(turns) <= most or i else '...'}<|im_end|>\n"
+                for i, (role, text) in enumerate(turns, first)
+            )
+
+        return template
+
+    for most in (WINDOW, WINDOW + 3, 2 * WINDOW, 3 * WINDOW):
+        found = format_conversations(frame(spark), trimming(most)).collect()
+        assert {r["conv_id"] for r in found if r["rewrites_history"]} == {4}
+        assert not any(r["loss_spans"] for r in found if r["rewrites_history"])
+        digests = conversation_digests(frame(spark), trimming(most)).collect()
+        assert {r["conv_id"] for r in digests if r["rewrites_history"]} == {4}
+    assert not any(r["rewrites_history"] for r in format_conversations(frame(spark), trimming(1000)).collect())
+
+
+def test_turns_are_counted_in_the_output(spark):
+    def without_system(turns, first):
+        return marked_turns([turn for turn in turns if turn[0] != "system"], first)
+
+    found = {r["conv_id"]: r["n_turns"] for r in conversation_digests(frame(spark), without_system).collect()}
+    assert found[2] == 1 and found[4] == 3 * WINDOW + 1
