@@ -14,10 +14,13 @@ from clusterloom.llm.classifier import classify
 from clusterloom.llm.counts import count_tokens
 from clusterloom.llm.decontaminate import find_leaks
 from clusterloom.llm.jaccard import Rule, similar_documents
+from clusterloom.llm.phrases import collocations
 from clusterloom.llm.rules import judge_documents
 from clusterloom.llm.secrets import scan_secrets, secrets_digest
 from clusterloom.llm.suffixes import Repeats, repeats_digest, without_repeats
+from clusterloom.llm.topk import top_k
 from clusterloom.llm.warc import archived_pages
+from clusterloom.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -98,3 +101,18 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats_digest(without_repeats(table(spark, sf_dir, "documents"), Repeats(length=200)))
+
+
+@registered
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"), components=8)
+
+
+@registered
+def op12_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), k=20)
+
+
+@registered
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"), least=100, keep=2000)
