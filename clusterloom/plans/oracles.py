@@ -252,6 +252,15 @@ ORACLES: dict[str, str] = {
         "select count(*) as n, sum(o_custkey)::bigint as customers, "
         + _r("sum(o_totalprice) filter (where o_orderkey % 7 <> 0)", 2) + " as price from orders"
     ),
+    "jdbc_failed_overwrite": (
+        _ORDER_FACTS.replace("select ", "select 2::bigint as failed, ", 1) + " where o_totalprice > 100000"
+    ),
+    "jdbc_skewed_scan": (
+        "select count(*) as n, sum(o_custkey)::bigint as customers, "
+        + _r("sum(case when o_custkey % 2 = 0 then 1000.0::double else o_totalprice end) filter (where o_orderkey % 7 <> 0)", 2)
+        + " as price, 16::bigint as parts, true as even from orders"
+    ),
+    "jdbc_resumed_scan": _ORDER_FACTS.replace("select ", "select 3::bigint as ranges_left, ", 1),
     "seed_rows_inline": (
         f"select feature, count(*) as n, {_r('sum(value)', 3)} as value, {_r('max(value)', 3)} as largest, "
         "coalesce(sum((select count(*) from part where p_size = floor(value))), 0)::bigint as parts from ("
@@ -271,6 +280,10 @@ ORACLES: dict[str, str] = {
         f"{_r(f'avg({f}::float::double)')} as mean from lineitem where {_IN_BOUNDS}"
         for f in LINE_FEATURES
     ),
+    "seed_after_crash": (
+        "select 1::bigint as died, 0::bigint as rows_left, 1::bigint as loads, count(*) as n, "
+        f"sum(p_size)::bigint as p_size, {_r('sum(p_retailprice)', 2)} as p_retailprice from part"
+    ),
     "seed_if_absent": (
         f"select 1::bigint as loads, count(*) as n, sum(p_size)::bigint as p_size, {_r('sum(p_retailprice)', 2)} "
         "as p_retailprice from part"

@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import replace
+from functools import partial
 
 from py4j.protocol import Py4JJavaError
 from pyspark.ml.functions import vector_to_array
@@ -15,6 +16,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clusterloom.config import FOOD_FEATURES, JobConfig
+from clusterloom.database import (
+    JdbcTable,
+    drop_table,
+    is_missing_table,
+    is_there,
+    query_jdbc,
+    table_row_count,
+)
 from clusterloom.functions.distance import as_vector, nearest, squared_norm
 from clusterloom.operators.cleaning import clean, range_profile, select_float
 from clusterloom.operators.clustering import (
@@ -30,17 +39,13 @@ from clusterloom.operators.limiting import take_rows
 from clusterloom.operators.quality import dq_report
 from clusterloom.operators.silhouette import evaluate_silhouette, silhouette
 from clusterloom.plans.job import cluster_rows, run_job
-from clusterloom.sinks.jdbc import drop_table, seed_if_absent, write_jdbc, write_result
+from clusterloom.sinks.jdbc import begin_load, seed_if_absent, write_jdbc, write_result
 from clusterloom.sinks.model import load_kmeans, load_scoring_model, save_model
+from clusterloom.sources.balance import balanced_predicates
 from clusterloom.sources.delimited import read_delimited
+from clusterloom.sources.extract import extract_jdbc, missing_ranges
 from clusterloom.sources.inline import inline_rows
-from clusterloom.sources.jdbc import (
-    JdbcTable,
-    is_missing_table,
-    query_jdbc,
-    read_jdbc,
-    read_jdbc_with_retry,
-)
+from clusterloom.sources.jdbc import read_jdbc, read_jdbc_with_retry
 from clusterloom.storage import persisted, runs_in_one_process, snapshot, work_dir
 
 log = logging.getLogger(__name__)
@@ -486,6 +491,70 @@ def q_jdbc_predicate_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         return kept(_order_facts(read_jdbc(spark, target, predicates=[*ends, *bands])))
 
 
+@registered
+def q_jdbc_failed_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A replacement whose tasks end at the dear orders, after others have committed theirs: the table is as before."""
+    orders = _orders(spark, sf_dir)
+    fault = F.raise_error(F.lit("the task ends here")).cast("double")
+    broken = orders.withColumn("o_totalprice", F.when(F.col("o_totalprice") > 100_000, fault).otherwise(F.col("o_totalprice")))
+    with scratch_table(spark) as target:
+        write_jdbc(orders.filter(F.col("o_totalprice") > 100_000), target)
+        failed = 0
+        for truncate in (False, True):
+            try:
+                write_jdbc(broken, target, truncate=truncate)
+            except Exception as error:
+                if "the task ends here" not in str(error):
+                    raise
+                failed += 1
+        facts = _order_facts(read_jdbc(spark, target, **ORDER_SPLIT))
+        return kept(facts.withColumn("failed", F.lit(failed).cast("bigint")))
+
+
+@registered
+def q_jdbc_skewed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the orders share a price and every seventh has none; no connection gets more than twice the usual rows."""
+    price = F.when(F.col("o_orderkey") % 7 == 0, None).when(F.col("o_custkey") % 2 == 0, 1000.0)
+    orders = _orders(spark, sf_dir).withColumn("o_totalprice", price.otherwise(F.col("o_totalprice")))
+    with scratch_table(spark) as target:
+        write_jdbc(orders, target)
+        rows = read_jdbc(
+            spark, target, balanced_by=["o_totalprice", "o_custkey", "o_orderkey"], num_partitions=16
+        )
+        sizes = rows.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("size"))
+        spread = sizes.agg(
+            F.count(F.lit(1)).alias("parts"), (F.max("size") <= 2 * F.median("size")).alias("even")
+        ).first()
+        facts = _order_facts(rows)
+        return kept(
+            facts.withColumns({"parts": F.lit(spread["parts"]).cast("bigint"), "even": F.lit(spread["even"])})
+        )
+
+
+@registered
+def q_jdbc_resumed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last three of eight ranges need a table that is not there yet; a second call reads only these."""
+    folder = f"{work_dir(spark)}/extract"
+    with scratch_table(spark) as target:
+        gate = target.named(f"{target.table}_gate")
+        write_jdbc(_orders(spark, sf_dir), target)
+        ranges = balanced_predicates(spark, target, ["o_orderkey"], 8)
+        late = [f"({condition}) and 0 = (select count(*) from {gate.table})" for condition in ranges[5:]]
+        extract = partial(extract_jdbc, spark, target, folder, [*ranges[:5], *late], connections=4, attempts=1)
+        try:
+            extract()
+        except Py4JJavaError as error:
+            if not is_missing_table(spark, error):
+                raise
+        left = missing_ranges(spark, folder, len(ranges))
+        try:
+            write_jdbc(_orders(spark, sf_dir).limit(0), gate)
+            facts = _order_facts(extract())
+            return kept(facts.withColumn("ranges_left", F.lit(len(left)).cast("bigint")))
+        finally:
+            drop_quietly(spark, gate)
+
+
 @registered
 def q_jdbc_retried_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first address is that of a database which is shutting down, the second answers."""
@@ -532,7 +601,7 @@ def q_seed_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_tsv(table(spark, sf_dir, "part").select("p_name", *features), folder)
     with scratch_table(spark) as target:
         write_jdbc(inline_rows(spark, SEED_ROWS, SEED_SCHEMA), target)
-        loads = [seed_if_absent(spark, folder, target, features) for _ in range(2)]
+        loads = [seed_if_absent(spark, folder, target, features, journal=None) for _ in range(2)]
         back = read_jdbc(spark, target, partition_column="p_retailprice", num_partitions=8)
         return kept(
             back.agg(
@@ -544,6 +613,44 @@ def q_seed_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
 
+@registered
+def q_seed_after_crash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first load dies at the largest parts; what it and a load without staging leave does not count as filled."""
+    features = ["p_size", "p_retailprice"]
+    folder = f"{work_dir(spark)}/tsv"
+    write_tsv(table(spark, sf_dir, "part").select("p_name", *features), folder)
+    with scratch_table(spark) as target:
+        journal = target.named(f"{target.table}_loads")
+        rows = read_delimited(spark, folder).select(*features)
+        fault = F.raise_error(F.lit("the task ends here")).cast("double")
+        dying = rows.withColumn("p_retailprice", F.when(F.col("p_size") == 50, fault).otherwise(F.col("p_retailprice")))
+        try:
+            marks = begin_load(spark, target, journal.table)
+            died = 0
+            try:
+                write_jdbc(dying, target, marks=marks)
+            except Exception as error:
+                if "the task ends here" not in str(error):
+                    raise
+                died = 1
+            left = table_row_count(spark, target) if is_there(spark, target) else 0
+            write_jdbc(rows.limit(11), target)
+            loads = [seed_if_absent(spark, folder, target, features, journal=journal.table) for _ in range(2)]
+            back = read_jdbc(spark, target, balanced_by=["p_retailprice"], num_partitions=8)
+            return kept(
+                back.agg(
+                    F.lit(died).cast("bigint").alias("died"),
+                    F.lit(left).cast("bigint").alias("rows_left"),
+                    F.lit(sum(loads)).cast("bigint").alias("loads"),
+                    F.count(F.lit(1)).alias("n"),
+                    F.sum(F.col("p_size").cast("bigint")).alias("p_size"),
+                    rounded(F.sum(F.col("p_retailprice").cast("double")), "p_retailprice", 2),
+                )
+            )
+        finally:
+            drop_quietly(spark, journal)
+
+
 @registered
 def q_seed_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A file with a column that is no number is refused, and the table stays as it was."""
@@ -552,7 +659,7 @@ def q_seed_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
     with scratch_table(spark) as target:
         write_jdbc(inline_rows(spark, SEED_ROWS, SEED_SCHEMA), target)
         try:
-            seed_if_absent(spark, folder, target, ["p_name", "p_size"])
+            seed_if_absent(spark, folder, target, ["p_name", "p_size"], journal=None)
             refused = ""
         except ValueError as fault:
             refused = str(fault)

@@ -52,6 +52,40 @@ def drop_snapshot(spark: SparkSession, path: str) -> None:
     files.delete(folder, True)
 
 
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Has a job that writes this folder come to its end?"""
+    files, mark = _file_system(spark, f"{path}/_SUCCESS")
+    return files.exists(mark)
+
+
+def put_note(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file at once: readers see the earlier text or the new one."""
+    files, target = _file_system(spark, path)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+    stream = files.create(draft, True)
+    try:
+        stream.write(text.encode("utf-8"))
+    finally:
+        stream.close()
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    options = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+    options[0] = getattr(hadoop, "Options$Rename").OVERWRITE
+    names = hadoop.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration())
+    names.rename(files.makeQualified(draft), files.makeQualified(target), options)
+
+
+def read_note(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file; nothing where there is none."""
+    files, target = _file_system(spark, path)
+    if not files.exists(target):
+        return None
+    stream = files.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
 def _file_system(spark: SparkSession, path: str):
     """The file system that holds ``path``, and the path in its terms."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
