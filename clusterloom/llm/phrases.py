@@ -7,7 +7,7 @@ prefix, and its largest entry tells whether a longer phrase is just as
 frequent. A phrase cannot be more frequent than a part of it, so each pass
 over the texts asks only for prefixes whose parts the pass before has found
 often enough: first words, then words that follow a word, then words that
-follow two to four.
+follow two, then those that follow three or four.
 """
 
 from __future__ import annotations
@@ -15,8 +15,10 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
@@ -26,62 +28,81 @@ from pyspark.sql import functions as F
 from clusterloom.llm.batches import bound_batches, mixed, slices, texts_of
 from clusterloom.storage import drop_snapshot, snapshot, work_dir
 
-#: Words that a task counts together before it sends their stripes.
+#: Words of a language that a task counts together before it sends their stripes.
 CHUNK_WORDS = 4_000_000
 
-#: Bytes of one text that are taken apart at a time.
-TEXT_BYTES = 4 << 20
+#: Bytes of text that are taken apart at a time.
+TEXT_BYTES = 2 << 20
 
 #: A filter has at least so many bits for a phrase, until it is as large as it may get.
-BITS_FOR_EACH = 32
+BITS_FOR_EACH = 512
 LEAST_BITS, MOST_BITS = 16, 28
 
 #: So many of the most frequent prefixes have their stripes cut into parts by the next word.
-HOT_PREFIXES = 1024
+HOT_PREFIXES = 256
 PARTS_OF_HOT = 64
 
 LONGEST = 5
 
+#: Words of the phrases that a pass knows to be frequent, and lengths of the prefixes whose stripes it counts.
+PASSES = ((1, (1,)), (2, (2,)), (3, (3, 4)))
+
 _UPPER = bytes(range(ord("A"), ord("Z") + 1))
 _ENDS = b".,;:!?\n\v\f\r"
 _FOLD = bytes.maketrans(_UPPER + b"\t" + _ENDS, _UPPER.lower() + b" " + b"\n" * len(_ENDS))
-_WORDS = re.compile(rb"[^ \n]+|\n+")
 _BETWEEN = re.compile(b"[ \t" + re.escape(_ENDS) + b"]")
 
 STRIPES = "lang string, prefix array<long>, part int, nexts array<long>, counts array<long>"
 
 
-class Numbers(dict):
-    """Words by number, in the order in which they are met; the end of a piece is 0."""
+class Powers:
+    """Powers of a base and of its inverse modulo 2^64, as many as have been asked for."""
 
-    def __init__(self) -> None:
-        self.words = [b""]
+    def __init__(self, salt: int):
+        self.base = np.uint64((0x9E3779B97F4A7C15 * (2 * salt + 1) + 2 * salt) % (1 << 64) | 1)
+        self.up = self.down = np.ones(1, np.uint64)
 
-    def __missing__(self, word: bytes) -> int:
-        if word[0] == 10:
-            number = 0
-        else:
-            number = len(self.words)
-            self.words.append(word)
-        self[word] = number
-        return number
+    def reach(self, n: int) -> None:
+        if len(self.up) < n:
+            size = max(n, 2 * len(self.up))
+            inverse = np.uint64(pow(int(self.base), -1, 1 << 64))
+            self.up = np.cumprod(np.r_[np.uint64(1), np.full(size, self.base)])
+            self.down = np.cumprod(np.r_[np.uint64(1), np.full(size, inverse)])
 
-    def hashes(self, salt: int) -> np.ndarray:
-        return np.fromiter((xxhash.xxh3_64_intdigest(w, salt) for w in self.words), np.uint64, len(self.words))
+    def hashes(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """A hash, never 0, of the bytes from each start to its end, wherever they stand."""
+        self.reach(len(data) + 1)
+        sums = np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.up[: len(data)])
+        sums = np.r_[np.uint64(0), sums]
+        found = mixed((sums[ends] - sums[starts]) * self.down[starts])
+        return np.where(found == 0, np.uint64(1), found)
 
 
-def pieces_of(text: bytes) -> Iterator[list[bytes]]:
-    """The words of a text, with line ends between its pieces; long texts come in parts."""
+def parts_of(text: bytes) -> Iterator[bytes]:
+    """A long text in parts, cut where no word is."""
     start = 0
     while start < len(text):
         end = start + TEXT_BYTES
-        if end < len(text):  # cut where no word is
+        if end < len(text):
             found = _BETWEEN.search(text, end)
             end = found.start() if found else len(text)
-        yield _WORDS.findall(text[start:end].translate(_FOLD))
+        yield text[start:end] if start or end < len(text) else text
         start = end
 
 
+def word_places(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The folded text, where its words start and end, and which have an end of a piece before them.
+
+    The last entry of these tells the same of what comes after the text.
+    """
+    data = np.frombuffer(text.translate(_FOLD), np.uint8)
+    inside = np.r_[False, (data != 32) & (data != 10), False]
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    lines = np.r_[0, np.cumsum(data == 10)]
+    return data, starts, ends, np.diff(np.r_[0, lines[starts], lines[-1]]) > 0
+
+
 def keys_of(lang: str, *words: np.ndarray) -> np.ndarray:
     """A hash for every phrase of a language, from the hashes of its words."""
     key = np.array([xxhash.xxh3_64_intdigest(lang.encode("utf-8", "surrogatepass"))], np.uint64)
@@ -116,58 +137,105 @@ class Wanted:
     hot: np.ndarray
 
 
-class Chunk:
-    """Words of some texts of a task, by language."""
-
-    def __init__(self) -> None:
-        self.numbers = Numbers()
-        self.texts: dict[str, list[np.ndarray]] = {}
-        self.size = 0
-
-    def add(self, lang: str, words: list[bytes]) -> None:
-        numbers = np.fromiter(map(self.numbers.__getitem__, words), np.int32, len(words))
-        self.texts.setdefault(lang, []).append(numbers)
-        self.size += len(words)
+def in_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
+    """Texts of one language joined, with a line end after each, a few megabytes at a time."""
+    waiting: dict[str, list[bytes]] = {}
+    size: dict[str, int] = {}
+    for batch in slices(batches):
+        for lang, text in zip(batch["lang"].to_pylist(), texts_of(batch["text"])):
+            waiting.setdefault(lang, []).append(text)
+            size[lang] = size.get(lang, 0) + len(text) + 1
+            if size[lang] >= TEXT_BYTES:
+                size[lang] = 0
+                for part in parts_of(b"\n".join([*waiting.pop(lang), b""])):
+                    yield lang, part
+    for lang, texts in waiting.items():
+        for part in parts_of(b"\n".join([*texts, b""])):
+            yield lang, part
 
-    def rest(self, last: dict[str, np.ndarray]) -> Chunk:
-        """A new chunk that begins with the words whose phrases were not complete."""
-        other = Chunk()
-        for lang, words in last.items():
-            other.add(lang, [self.numbers.words[n] or b"\n" for n in words])
-        return other
 
+def in_chunks(batches: Iterator[pa.RecordBatch], salt: int) -> Iterator[tuple[str, np.ndarray, int]]:
+    """Hashes of the words of a language in order, 0 between pieces, and at how many places phrases may start.
 
-def in_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Chunk, dict[str, tuple[np.ndarray, int]]]]:
-    """Chunks, and of every language all words with the number of those that phrases may start at."""
-    chunk = Chunk()
-    for batch in slices(batches):
-        for lang, text in zip(batch["lang"].to_pylist(), texts_of(batch["text"])):
-            for words in pieces_of(text):
-                chunk.add(lang, words)
-                if chunk.size >= CHUNK_WORDS:
-                    joined = {at: np.concatenate(parts) for at, parts in chunk.texts.items()}
-                    starts = {at: max(0, len(all_) - (LONGEST - 1)) for at, all_ in joined.items()}
-                    yield chunk, {at: (all_, starts[at]) for at, all_ in joined.items()}
-                    chunk = chunk.rest({at: all_[starts[at] :] for at, all_ in joined.items()})
-            chunk.add(lang, [b"\n"])
-    yield chunk, {lang: (all_, len(all_)) for lang, parts in chunk.texts.items() for all_ in [np.concatenate(parts)]}
+    The last words of a chunk, whose phrases may go on, come again in the next one.
+    """
+    powers = Powers(salt)
+    chunks: dict[str, list[np.ndarray]] = {}
+    size: dict[str, int] = {}
+    for lang, part in in_parts(batches):
+        data, starts, ends, begins = word_places(part)
+        words = np.zeros(len(starts) + int(begins.sum()), np.uint64)
+        words[np.arange(len(starts)) + np.cumsum(begins[:-1])] = powers.hashes(data, starts, ends)
+        chunks.setdefault(lang, []).append(words)
+        size[lang] = size.get(lang, 0) + len(words)
+        if size[lang] >= CHUNK_WORDS:
+            joined = np.concatenate(chunks[lang])
+            own = max(0, len(joined) - (LONGEST - 1))
+            yield lang, joined, own
+            chunks[lang] = [joined[own:]]
+            size[lang] = len(joined) - own
+    for lang, parts in chunks.items():
+        joined = np.concatenate(parts)
+        yield lang, joined, len(joined)
+
+
+@dataclass
+class Counted:
+    """Words of a language with two hashes and a count; equal words can be there several times."""
+
+    hashes: list[np.ndarray]
+    others: list[np.ndarray]
+    counts: list[np.ndarray]
+    words: list[bytes]
+
+    def add(self, hashes: np.ndarray, others: np.ndarray, counts: np.ndarray, words: list[bytes]) -> None:
+        self.hashes.append(hashes)
+        self.others.append(others)
+        self.counts.append(counts)
+        self.words += words
+
+    def batch(self, lang: str) -> pa.RecordBatch:
+        """A row for every hash, and one without a count for a word that is not the first of its hash."""
+        hashes, others, counts = (np.concatenate(parts) for parts in (self.hashes, self.others, self.counts))
+        first, sums, clash = by_hash(hashes, others, counts)
+        at = np.r_[first, clash]
+        columns = [
+            pa.array([lang], pa.string()).take(pa.array(np.zeros(len(at), np.int32))),
+            pa.array(hashes[at].view(np.int64)),
+            pa.array([self.words[i] for i in at.tolist()], pa.binary()),
+            pa.array(np.r_[sums, np.zeros(len(clash), np.int64)]),
+        ]
+        return pa.RecordBatch.from_arrays(columns, ["lang", "hash", "word", "n"])
+
+
+def by_hash(hashes: np.ndarray, others: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where each hash comes first, the sum of its counts, and the places where the other hash tells that words differ."""
+    codes, found = pd.factorize(hashes)
+    first = np.zeros(len(found), np.int64)
+    first[codes[::-1]] = np.arange(len(codes))[::-1]
+    sums = np.zeros(len(found), np.int64)
+    np.add.at(sums, codes, counts)
+    return first, sums, np.flatnonzero(others != others[first[codes]])
 
 
 def words_in_batches(salt: int):
     """Counts of words: the stripe of the empty prefix."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk, texts in in_chunks(batches):
-            words, hashes = chunk.numbers.words, chunk.numbers.hashes(salt).view(np.int64)
-            for lang, (numbers, starts) in texts.items():
-                counts = np.bincount(numbers[:starts], minlength=len(words))
-                counts[0] = 0
-                met = np.flatnonzero(counts)
-                columns = [
-                    pa.array([lang] * len(met), pa.string()), pa.array(hashes[met]),
-                    pa.array([words[n] for n in met], pa.binary()), pa.array(counts[met], pa.int64()),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["lang", "hash", "word", "n"])
+        powers, check = Powers(salt), Powers(salt + 1_000_003)
+        waiting: dict[str, Counted] = {}
+        for lang, part in in_parts(batches):
+            data, starts, ends, _ = word_places(part)
+            hashes, others = powers.hashes(data, starts, ends), check.hashes(data, starts, ends)
+            first, sums, clash = by_hash(hashes, others, np.ones(len(hashes), np.int64))
+            at, text = np.r_[first, clash], data.tobytes()
+            words = [text[s:e] for s, e in zip(starts[at].tolist(), ends[at].tolist())]
+            own = waiting.setdefault(lang, Counted([], [], [], []))
+            own.add(hashes[at], others[at], np.r_[sums, np.zeros(len(clash), np.int64)], words)
+            if len(own.words) >= CHUNK_WORDS // 8:
+                yield waiting.pop(lang).batch(lang)
+        for lang, own in waiting.items():
+            yield own.batch(lang)
 
     return count
 
@@ -182,11 +250,10 @@ def stripes_in_batches(held: Broadcast):
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted: Wanted = held.value
-        for chunk, texts in in_chunks(batches):
-            hashes = chunk.numbers.hashes(wanted.salt)
-            for lang, (numbers, starts) in texts.items():
-                for length in wanted.lengths:
-                    yield from stripes_of(lang, numbers, starts, hashes, length, wanted)
+        for lang, words, starts in in_chunks(batches, wanted.salt):
+            numbers, hashes = pd.factorize(np.r_[np.uint64(0), words])  # the end of a piece is 0
+            for length in wanted.lengths:
+                yield from stripes_of(lang, numbers[1:], starts, hashes, length, wanted)
 
     return count
 
@@ -195,14 +262,14 @@ def stripes_of(
     lang: str, numbers: np.ndarray, starts: int, hashes: np.ndarray, length: int, wanted: Wanted
 ) -> Iterator[pa.RecordBatch]:
     size = len(hashes)
-    padded = np.concatenate([numbers, np.zeros(LONGEST, np.int32)])
+    padded = np.concatenate([numbers, np.zeros(LONGEST, numbers.dtype)])
     # At which places does a known phrase begin that may be frequent?
-    if wanted.known == 1:
-        known = wanted.frequent.holds(keys_of(lang, hashes))[padded] & (padded > 0)
-    else:
-        known = (padded[:-1] > 0) & (padded[1:] > 0)
-        at = np.flatnonzero(known)
-        known[at] = wanted.frequent.holds(keys_of(lang, hashes[padded[at]], hashes[padded[at + 1]]))
+    places = len(padded) - wanted.known + 1
+    known = np.ones(places, bool)
+    for step in range(wanted.known):
+        known &= padded[step : step + places] > 0
+    at = np.flatnonzero(known)
+    known[at] = wanted.frequent.holds(keys_of(lang, *[hashes[padded[at + step]] for step in range(wanted.known)]))
     steps = length - wanted.known + 1
     ok = known[:starts].copy()
     for step in range(1, steps):
@@ -363,7 +430,7 @@ def collocations(
     each, other columns are ignored; an empty table gives no rows. Products
     are exact up to 38 digits; more of them ends the job.
 
-    Texts are read three times, counts go through one shuffle each. Words are
+    Texts are read four times, counts go through one shuffle each. Words are
     known by 64-bit hashes, which are checked to differ.
     """
     spark = df.sparkSession
@@ -376,10 +443,10 @@ def collocations(
     words, salt = counted_words(texts, folder)
     phrases = words.filter(F.col("n") >= least).select("lang", F.array("hash").alias("words"), F.col("n").alias("a"))
     parts = []
-    for known, lengths in ((1, (1,)), (2, (2, 3, 4))):
+    for known, lengths in PASSES:
         held = spark.sparkContext.broadcast(Wanted(salt, known, lengths, filter_of(phrases), hottest(phrases)))
         found = texts.mapInArrow(stripes_in_batches(held), STRIPES)
         parts.append(snapshot(merged(found, least), f"{folder}/stripes-{known}"))
         phrases = parts[-1].select("lang", "prefix", F.inline("extensions").alias("next", "a"))
         phrases = phrases.select("lang", F.concat("prefix", F.array("next")).alias("words"), "a")
-    return judged(parts[0].unionByName(parts[1]), words, keep)
+    return judged(reduce(DataFrame.unionByName, parts), words, keep)

@@ -56,7 +56,7 @@ def texts(seed=1, n=300):
     rnd = random.Random(seed)
     words = ["New", "york", "city", "of", "the", "The", "a", "a", "é", "Éa", "x", "日本"]
     rows = [
-        (rnd.choice(["en", "en", "en", "de", None, "und", ""]), "".join(rnd.choice(words) + rnd.choice([" ", " ", "\t", "  ", ". ", "\n", ","]) for _ in range(rnd.randint(0, 30))))
+        (rnd.choice(["en", "en", "en", "de", None, "und", ""]), "".join(rnd.choice(words) + rnd.choice([" ", " ", "\t", "  ", ".  ", "\n", ",", " ;\t "]) for _ in range(rnd.randint(0, 30))))
         for _ in range(n)
     ]
     return rows + [("en", None), ("en", ""), ("fr", " \t\n.,"), ("en", "new york city hall opens"), ("en", sentence(0, 3000))] * 9
@@ -79,12 +79,14 @@ def test_chunks_parts_and_hot_prefixes_change_nothing(spark, monkeypatch):
 
 def test_words_of_one_hash_get_another_salt(spark, monkeypatch, tmp_path):
     rows = frame(spark, texts(3, 20)).select("lang", "text").fillna("und")
-    real = phrases.Numbers.hashes
+    real = phrases.Powers.hashes
 
-    def hashes(self, salt):
-        return real(self, salt) if salt > 1 else real(self, salt) % np.uint64(3)
+    def hashes(self, *places):
+        found = real(self, *places)
+        return found % np.uint64(3) + np.uint64(1) if self.base in first_bases else found
 
-    monkeypatch.setattr(phrases.Numbers, "hashes", hashes)
+    first_bases = [phrases.Powers(salt).base for salt in (0, 1)]
+    monkeypatch.setattr(phrases.Powers, "hashes", hashes)
     words, salt = phrases.counted_words(rows, str(tmp_path))
     assert salt == 2 and words.select("lang", "hash").distinct().count() == words.count()
 
