@@ -100,11 +100,17 @@ def page_of(name: str | None) -> int | None:
     return int(found.group(1)) if found else None
 
 
-def page_records(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None) -> list[bytes]:
+def record_name(page_id: int | None, label: str, row: int) -> str:
+    """Versions of a page, and its repetitions, get different names."""
+    return f"{page_name(page_id)[:-1]}:{label}:{row}>"
+
+
+def page_records(
+    page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, row: int = 0, refers_row: int | None = None
+) -> list[bytes]:
     """The records of a page: a revisit, or a response and its continuations."""
     label = payload_label(payload)
-    # Two versions of a page get different names.
-    name = f"{page_name(page_id)[:-1]}:{label}>"
+    name = record_name(page_id, label, row)
     target = quote(url or "about:blank", safe=":/?#[]@!$&'()*+,;=%")
     common = {"WARC-Target-URI": target, "WARC-Date": DATE}
     if refers_to is not None:
@@ -113,7 +119,7 @@ def page_records(page_id: int | None, url: str | None, payload: bytes, refers_to
             **common,
             "WARC-Payload-Digest": label,
             "WARC-Profile": PROFILE,
-            "WARC-Refers-To": f"{page_name(refers_to)[:-1]}:{label}>",
+            "WARC-Refers-To": record_name(refers_to, label, refers_row or 0),
         }
         return [record("revisit", fields, b"")]
     block = HTTP_HEAD + chunked(payload)
@@ -137,7 +143,7 @@ def page_records(page_id: int | None, url: str | None, payload: bytes, refers_to
 
 def pages_to_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
-        rows = zip(*(batch[name].to_pylist() for name in ("page_id", "url", "payload", "refers_to")))
+        rows = zip(*(batch[name].to_pylist() for name in ("page_id", "url", "payload", "refers_to", "row", "refers_row")))
         out = [piece for row in rows for piece in page_records(*row)]
         yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
 
@@ -147,8 +153,8 @@ def write_pages(pages: DataFrame, folder: str) -> None:
 
     The payload is the html in UTF-8, empty where missing. Of equal payloads
     of ``MIN_SHARED`` bytes or more the one with the largest page_id becomes
-    the response, the others revisit it; smaller ones are all responses. Exact
-    repetitions of a row give repetitions of its record. Other columns are ignored.
+    the response, the others revisit it; smaller ones are all responses. Every
+    row gets a record of its own, repeated rows too. Other columns are ignored.
     """
     bound_batches(pages.sparkSession)
     rows = pages.select(
@@ -158,17 +164,20 @@ def write_pages(pages: DataFrame, folder: str) -> None:
     )
     large = F.length("payload") >= MIN_SHARED
     rows = rows.withColumn("same", F.when(large, F.sha2("payload", 256)))
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
     # Only payloads that occur again can make revisits; what each task knows is combined before the shuffle.
     stored = (
         rows.filter("same is not null")
         .groupBy("same")
-        .agg(F.max("page_id").alias("stored"), F.count(F.lit(1)).alias("n"))
+        .agg(F.max(F.struct("page_id", (-F.col("row")).alias("place"))).alias("stored"), F.count(F.lit(1)).alias("n"))
         .filter("n > 1")
         .drop("n")
     )
+    revisits = ~F.col("page_id").eqNullSafe(F.col("stored.page_id"))
     placed = rows.join(stored, "same", "left").select(
-        "page_id", "url", "payload", F.when(~F.col("page_id").eqNullSafe(F.col("stored")), F.col("stored")).alias("refers_to")
-    )
+        "page_id", "url", "payload", "row", F.when(revisits, F.col("stored.page_id")).alias("refers_to"),
+        (-F.col("stored.place")).alias("refers_row"),
+    )
     records = placed.mapInArrow(pages_to_records, "value binary")
     writer = records.select(F.col("value").cast("string")).write.mode("overwrite")
     writer.options(lineSep=RECORD_END, compression="gzip", maxRecordsPerFile=RECORDS_PER_FILE).text(folder)
@@ -309,9 +318,9 @@ def read_pages(spark: SparkSession, folder: str) -> DataFrame:
 def archived_pages(pages: DataFrame) -> DataFrame:
     """Write pages as archives, read them back and return the facts of each page's full payload.
 
-    Revisits take them from the response they refer to. Exact repetitions of
-    a page are one row; an empty table gives an empty result. Archives lie
-    below the shared folder.
+    Revisits take them from the response they refer to. There is a row for
+    every page row, repeated ones included; an empty table gives an empty
+    result. Archives lie below the shared folder.
     """
     spark = pages.sparkSession
     folder = work_dir(spark)
@@ -324,11 +333,11 @@ def archived_pages(pages: DataFrame) -> DataFrame:
         "refers_to",
         "label",
     )
-    facts = snapshot(facts, f"{folder}/facts").distinct()
+    facts = snapshot(facts, f"{folder}/facts")
     responses = facts.filter("record_type = 'response'")
     sources = responses.select(
         F.col("page_id").alias("refers_to"), "label", "payload_bytes", "payload_digest"
-    )
+    ).distinct()
     revisits = facts.filter("record_type = 'revisit'").drop("payload_bytes", "payload_digest")
     resolved = revisits.join(sources, ["refers_to", "label"], "left")
     return responses.unionByName(resolved).drop("label")
