@@ -48,6 +48,13 @@ _LATE_MARK_RANGES = (
 )
 _LATE_MARKS = regex.compile("([" + "".join(f"{chr(a)}-{chr(b)}" for a, b in _LATE_MARK_RANGES) + "])")
 
+#: Capitals that came after Unicode 15.1, with their small letters.
+_LATE_CAPITALS = {
+    0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5,
+    0xA7DA: 0xA7DB, 0xA7DC: 0x19B, **dict(zip(range(0x10D50, 0x10D66), range(0x10D70, 0x10D86))),
+    **dict(zip(range(0x16EA0, 0x16EB9), range(0x16EBB, 0x16ED4))),
+}
+
 OUTPUTS = {
     "ids": T.ArrayType(T.LongType()),
     "decoded": T.StringType(),
@@ -215,7 +222,8 @@ class Encoder:
         text = raw if raw.isascii() else composed(raw).replace("Σ", "σ")
         if len(self.known_words) > CACHE_WORDS:
             self.known_words.clear()
-        words = [self.known_words[word] for word in self.words(text.lower())]
+        lower = text.lower() if text.isascii() else text.lower().translate(_LATE_CAPITALS)
+        words = [self.known_words[word] for word in self.words(lower)]
         if len(words) == 1:
             return words[0]
         return b"".join([codes for codes, _ in words]), " ".join([texts for _, texts in words])

@@ -38,6 +38,16 @@ def test_equals_the_library_on_random_texts(library, encoder):
         same(library, encoder, "".join(parts))
 
 
+def test_equals_the_library_on_every_code_point(library, encoder):
+    """Each between letters, in blocks of a few hundred; surrogates are no characters."""
+    points = [n for n in range(1, 0x110000) if not 0xD800 <= n < 0xE000]
+    # Hangul, ideographs, private use and planes without characters are alike throughout.
+    alike = [(0x3400, 0xA000), (0xAC00, 0xD7A4), (0xE000, 0xF900), (0x17000, 0x18D00), (0x20000, 0xE0000), (0xE0200, 0x110000)]
+    chosen = [n for n in points if n % 97 == 0 or not any(a <= n < b for a, b in alike)]
+    for at in range(0, len(chosen), 300):
+        same(library, encoder, " ".join(f"a{chr(n)}b {chr(n)}" for n in chosen[at : at + 300]))
+
+
 @pytest.mark.parametrize("text", ["a" * 5000, "'" * 300, "ΑΣ ΟΔΟΣ", "<|endoftext", "ab" * 40, "x!" * 99])
 def test_equals_the_library_on_long_runs(library, encoder, text):
     same(library, encoder, text)
