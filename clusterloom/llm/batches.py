@@ -138,5 +138,6 @@ def without_rows(df: DataFrame, id_column: str, text_column: str, dropped: DataF
     """
     key = row_key(id_column, text_column)
     marked = let_through(slot_of(key), slot_filter(dropped, "dropped_row"))
-    checked = df.filter(marked).join(dropped, key == F.col("dropped_row"), "left_anti")
+    own = "dropped_row" + "_" * max(map(len, df.columns))  # a name that no column has
+    checked = df.filter(marked).join(dropped.withColumnRenamed("dropped_row", own), key == F.col(own), "left_anti")
     return df.filter(~marked).unionByName(checked)

@@ -24,7 +24,7 @@ TEXTS = [
 ]
 
 #: Names that operators use for themselves.
-CLASHING = ("id", "row", "class", "n", "component", "kept", "spans", "stratum", "slot")
+CLASHING = ("id", "row", "class", "n", "component", "kept", "spans", "stratum", "slot", "dropped_row")
 
 
 def frame(spark, rows=None):
