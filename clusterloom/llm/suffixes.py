@@ -7,7 +7,8 @@ string, too. Tasks sort such suffixes and front-code them into runs; runs are
 exchanged by gram, and loser trees merge them that compare strings only from
 the prefix on which they are known to agree. Suffixes that share their gram
 come out next to each other; which of their strings occur twice is then told
-from the bytes around the anchors.
+from the bytes around the anchors. Where a gram is an anchor very often, such a group
+would be too large for a task; its strings are told apart by their hashes, over many tasks.
 """
 
 from __future__ import annotations
@@ -34,6 +35,13 @@ STRETCH = 1 << 16
 BUCKET_SUFFIXES = 100_000
 RUN_BYTES = 24 << 20
 
+#: A gram that is an anchor more often than this is hot: its strings are dealt out one by one, by their hash.
+HOT_ANCHORS = 2_000
+
+#: Strings per bucket of hot grams, and contexts whose strings are held at a time.
+BUCKET_STRINGS = 1_000_000
+HELD_CONTEXTS = 2_000
+
 #: Places that are known to repeat go on in rows of so many.
 KNOWN_PLACES = 10_000
 
@@ -234,27 +242,85 @@ def common_length(x: bytes, y: bytes, at: int) -> int:
     return at
 
 
-def runs_in_batches(rule: Repeats, buckets: int):
+def strings_in(texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all strings of ``length`` bytes: the text they are in, where they start, and their hashes."""
+    sizes = np.array([len(text) for text in texts])
+    counts = sizes - length + 1
+    offsets = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    owner = np.repeat(np.arange(len(sizes)), counts)
+    within = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+    hashes = string_hashes(np.frombuffer(b"".join(texts), np.uint8), length)
+    return owner, within, hashes[offsets[owner] + within]
+
+
+def by_hash(hashes: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order by hash, where each hash begins in it, and the weight that it has in all."""
+    order = np.argsort(hashes, kind="stable")
+    ordered = hashes[order]
+    starts = np.concatenate([[0], np.nonzero(ordered[1:] != ordered[:-1])[0] + 1])
+    return order, starts, np.add.reduceat(weight[order], starts)
+
+
+def stretches(owner: np.ndarray, start: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Owner, first and last start of runs of strings that touch, from starts in order by owner."""
+    if not len(owner):
+        return owner, start, start
+    new = np.concatenate([[True], (owner[1:] != owner[:-1]) | (start[1:] - start[:-1] > length)])
+    begins, ends = np.flatnonzero(new), np.flatnonzero(np.concatenate([new[1:], [True]]))
+    return owner[begins], start[begins], start[ends]
+
+
+def hot_strings(entries: list[tuple], length: int, buckets: int) -> tuple[dict[int, bytes], list[tuple[int, int, int]]]:
+    """Strings of hot grams by bucket, those that a task has met more than once with weight 2, and their places."""
+    owner, within, hashes = strings_in([text for text, *_ in entries], length)
+    weight, row, first = (np.array(column, np.int64)[owner] for column in list(zip(*entries))[1:])
+    order, starts, totals = by_hash(hashes, weight)
+    again = np.zeros(len(hashes), bool)
+    again[order] = np.repeat(totals > 1, np.diff(np.concatenate([starts, [len(hashes)]])))
+    at = np.flatnonzero(again & (weight == 1))
+    texts, begins, ends = stretches(owner[at], within[at], length)
+    known = [
+        (entries[text][2], entries[text][3] + begin, entries[text][3] + end + length)
+        for text, begin, end in zip(texts.tolist(), begins.tolist(), ends.tolist())
+    ]
+    one = order[starts]
+    sent = np.stack([hashes[one].view(np.int64), np.minimum(totals, 2), row[one], (first + within)[one]], axis=1)
+    bucket = (mixed(hashes[one]) % np.uint64(buckets)).astype(np.int64)
+    by_bucket = np.argsort(bucket, kind="stable")
+    edges = np.flatnonzero(np.diff(bucket[by_bucket])) + 1
+    parts = np.split(by_bucket, edges)
+    return {int(bucket[part[0]]): zstandard.compress(sent[part].tobytes(), 3) for part in parts}, known
+
+
+def runs_in_batches(rule: Repeats, buckets: int, hot_buckets: int):
     """Sorted front-coded runs of the suffixes at the listed anchors, by bucket.
 
     Where a task meets the same bytes around an anchor again, it knows them to
     be repeated: their places go on as they are, under a bucket below zero,
     and the run gets the bytes once, with weight 2. So of a group of copies no
-    more travels than one entry per run.
+    more travels than one entry per run. Codes below zero are those of hot grams; their
+    strings go to buckets from ``buckets`` on.
     """
 
-    def blocks(held: dict[tuple[bytes, bytes], list[tuple[int, int]]]) -> pa.RecordBatch:
-        runs, known = {}, []
-        for (suffix, before), members in held.items():
-            bucket = xxhash.xxh3_64_intdigest(suffix[:GRAM]) % buckets
+    def blocks(held: dict[tuple[bool, bytes, bytes], list[tuple[int, int]]]) -> pa.RecordBatch:
+        runs, known, hot, out = {}, [], [], []
+        for (is_hot, suffix, before), members in held.items():
             if len(members) > 1:
                 size = len(before) + len(suffix)
                 known += [(row, first, first + size) for row, first in members]
-                entry = (suffix, before, 2, 0, 0)
+                place = (2, 0, 0)
             else:
-                entry = (suffix, before, 1, *members[0])
-            runs.setdefault(bucket, []).append(entry)
-        out = [(bucket, coded_run(sorted(entries))) for bucket, entries in runs.items()]
+                place = (1, *members[0])
+            if is_hot:
+                hot.append((before + suffix, *place))
+            else:
+                bucket = xxhash.xxh3_64_intdigest(suffix[:GRAM]) % buckets
+                runs.setdefault(bucket, []).append((suffix, before, *place))
+        for at in range(0, len(hot), HELD_CONTEXTS):
+            strings, places = hot_strings(hot[at : at + HELD_CONTEXTS], rule.length, hot_buckets)
+            out += [(buckets + bucket, block) for bucket, block in strings.items()]
+            known += places
+        out += [(bucket, coded_run(sorted(entries))) for bucket, entries in runs.items()]
         for at in range(0, len(known), KNOWN_PLACES):
             places = np.array(known[at : at + KNOWN_PLACES], np.int64)
             out.append((-1 - int(places[0, 0] % buckets), zstandard.compress(places.tobytes(), 3)))
@@ -268,9 +334,10 @@ def runs_in_batches(rule: Repeats, buckets: int):
         for batch in slices(batches, 64):
             rows = zip(batch["row"].to_pylist(), texts_of(batch["text"]), batch["codes"].to_pylist())
             for row, data, codes in rows:
-                place, first, last = unpacked(np.unique(np.array(codes, np.int64)))
-                for at, begin, end in zip(place.tolist(), first.tolist(), last.tolist()):
-                    key = (data[at : end + rule.length], data[begin:at])
+                codes = np.unique(np.array(codes, np.int64))
+                place, first, last = unpacked(np.where(codes < 0, ~codes, codes))
+                for code, at, begin, end in zip(codes.tolist(), place.tolist(), first.tolist(), last.tolist()):
+                    key = (code < 0, data[at : end + rule.length], data[begin:at])
                     held.setdefault(key, []).append((row, begin))
                     size += end + rule.length - begin
                 if size > RUN_BYTES:
@@ -314,34 +381,36 @@ class Comparison:
         if not self.closed:
             return
         length = self.rule.length
-        sizes = np.array([len(text) for text, _ in self.closed])
-        data = np.frombuffer(b"".join(text for text, _ in self.closed), np.uint8)
-        counts = sizes - length + 1
-        offsets = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-        owner = np.repeat(np.arange(len(sizes)), counts)
-        within = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-        hashes = string_hashes(data, length)[offsets[owner] + within]
-        weight = np.array([entry[0] for _, entry in self.closed])[owner]
-        order = np.argsort(hashes, kind="stable")
-        sorted_hashes = hashes[order]
-        starts = np.concatenate([[0], np.nonzero(sorted_hashes[1:] != sorted_hashes[:-1])[0] + 1])
-        totals = np.add.reduceat(weight[order], starts)
+        owner, within, hashes = strings_in([text for text, _ in self.closed], length)
+        order, starts, totals = by_hash(hashes, np.array([entry[0] for _, entry in self.closed])[owner])
         repeated = np.zeros(len(hashes), bool)
         repeated[order] = np.repeat(totals > 1, np.diff(np.concatenate([starts, [len(hashes)]])))
-        at = np.nonzero(repeated)[0]
-        if len(at) == 0:
-            return
+        at = np.flatnonzero(repeated)
         # Runs of repeated starts in one text become one stretch where they touch.
-        new = np.concatenate([[True], (owner[at[1:]] != owner[at[:-1]]) | (within[at[1:]] - within[at[:-1]] > length)])
-        begins, ends = at[new], at[np.concatenate([new[1:], [True]])]
-        for text, start, end in zip(owner[begins].tolist(), within[begins].tolist(), within[ends].tolist()):
+        for text, start, end in zip(*(column.tolist() for column in stretches(owner[at], within[at], length))):
             for row, first in self.closed[text][1][1:]:
                 yield row, first + start, first + end + length
 
 
-def merged_in_batches(rule: Repeats):
+def hot_stretches(blocks: list[bytes], length: int) -> Iterator[tuple[int, int, int]]:
+    """Covered stretches from the strings of a bucket of hot grams."""
+    strings = np.frombuffer(b"".join(map(zstandard.decompress, blocks)), np.int64).reshape(-1, 4)
+    order, starts, totals = by_hash(strings[:, 0], strings[:, 1])
+    again = np.repeat(totals > 1, np.diff(np.concatenate([starts, [len(strings)]])))
+    found = strings[order[again]]
+    found = found[found[:, 1] == 1]  # the places of others are known
+    found = found[np.lexsort((found[:, 3], found[:, 2]))]
+    for row, start, end in zip(*(column.tolist() for column in stretches(found[:, 2], found[:, 3], length))):
+        yield row, start, end + length
+
+
+def merged_in_batches(rule: Repeats, buckets: int):
     """Covered stretches from the runs of each bucket; buckets come one after another."""
 
+    def of_bucket(number: int | None, blocks: list[bytes], comparison: Comparison) -> Iterator[tuple[int, int, int]]:
+        if number is not None:
+            yield from merged(blocks, comparison) if number < buckets else hot_stretches(blocks, rule.length)
+
     def merged(runs: list[bytes], comparison: Comparison) -> Iterator[tuple[int, int, int]]:
         for shared, suffix, (before, weight, row, first) in LoserTree([decoded_run(block) for block in runs]):
             if shared < GRAM:
@@ -364,13 +433,13 @@ def merged_in_batches(rule: Repeats):
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in places.T.copy()], ["row", "start", "end"])
                     continue
                 if number != bucket:
-                    rows += merged(runs, comparison)
+                    rows += of_bucket(bucket, runs, comparison)
                     bucket, runs = number, []
                 runs.append(block)
             if rows:
                 yield out(rows)
                 rows = []
-        rows += merged(runs, comparison)
+        rows += of_bucket(bucket, runs, comparison)
         rows += comparison.covered()
         if rows:
             yield out(rows)
@@ -407,17 +476,19 @@ def covered_stretches(rows: DataFrame, rule: Repeats) -> DataFrame:
     placed = rows.mapInArrow(anchors_in_batches(rule), "gram long, row long, code long")
     placed = snapshot(placed, f"{folder}/anchors")
     # Only grams that are an anchor twice can belong to a string that occurs twice.
-    counted = placed.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
+    counted = placed.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     # Read from files, both sides of the join are plain exchanges, whose hot grams Spark can split.
-    again = placed.join(snapshot(counted, f"{folder}/grams"), "gram")
+    grams = snapshot(counted, f"{folder}/grams")
+    again = placed.join(grams, "gram").withColumn("code", F.when(F.col("n") > HOT_ANCHORS, F.bitwise_not("code")).otherwise(F.col("code")))
     codes = snapshot(again.groupBy("row").agg(F.collect_list("code").alias("codes")), f"{folder}/codes")
-    total = codes.agg(F.sum(F.size("codes"))).first()[0] or 0
-    buckets = max(12, -(-total // BUCKET_SUFFIXES))
+    sizes = grams.agg(F.sum("n").alias("all"), F.sum(F.when(F.col("n") > HOT_ANCHORS, F.col("n"))).alias("hot")).first()
+    buckets = max(12, -(-(sizes["all"] or 0) // BUCKET_SUFFIXES))
+    hot_buckets = max(12, -(-(sizes["hot"] or 0) * rule.grams // BUCKET_STRINGS))
     concerned = rows.filter(let_through(slot_of("row"), slot_filter(codes, "row")))
     listed = concerned.join(codes, "row").select("row", "text", "codes")
-    runs = listed.mapInArrow(runs_in_batches(rule, buckets), "bucket int, run binary")
+    runs = listed.mapInArrow(runs_in_batches(rule, buckets, hot_buckets), "bucket int, run binary")
     exchanged = runs.repartition("bucket").sortWithinPartitions("bucket")
-    return snapshot(exchanged.mapInArrow(merged_in_batches(rule), "row long, start long, end long"), f"{folder}/covered")
+    return snapshot(exchanged.mapInArrow(merged_in_batches(rule, buckets), "row long, start long, end long"), f"{folder}/covered")
 
 
 def without_repeats(

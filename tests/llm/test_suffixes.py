@@ -1,6 +1,10 @@
 import collections
 import random
 
+import numpy as np
+import pytest
+
+import clusterloom.llm.suffixes as module
 from clusterloom.llm.suffixes import LoserTree, coded_run, decoded_run, repeats_digest, without_repeats
 from tests.llm.rows import TEXTS, frame
 
@@ -55,13 +59,46 @@ def test_every_row(spark):
 
 
 def test_stretches_of_long_texts_join(spark, monkeypatch):
-    import clusterloom.llm.suffixes as module
-
     monkeypatch.setattr(module, "STRETCH", 500)
     rows = passages()[:60]
     assert found(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
 
 
+@pytest.mark.parametrize("hot", [0, 5])
+def test_hot_grams_are_dealt_out(spark, monkeypatch, hot):
+    """Also where every gram counts as hot, and with few contexts at a time."""
+    monkeypatch.setattr(module, "HOT_ANCHORS", hot)
+    monkeypatch.setattr(module, "HELD_CONTEXTS", 7)
+    monkeypatch.setattr(module, "BUCKET_STRINGS", 100)
+    rows = passages()
+    assert found(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)) == brute(rows)
+
+
+def test_a_line_in_every_document(spark, monkeypatch):
+    """100 bytes that all share, in surroundings of their own or of a few."""
+    monkeypatch.setattr(module, "HOT_ANCHORS", 50)
+    rnd = random.Random(6)
+    line = "this line of one hundred bytes stands in every document of the collection, whatever its other text x"
+    around = lambda: "".join(rnd.choice("abcdefgh ") for _ in range(150))
+    few = [around() for _ in range(4)]
+    rows = [(i, (rnd.choice(few) if i % 3 else around()) + line + (rnd.choice(few) if i % 2 else around())) for i in range(400)]
+    assert found(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)) == brute(rows)
+
+
+def test_many_contexts_of_one_gram_stay_small():
+    """A task sends strings of a hot gram in pieces; none grows with their number."""
+    rnd = np.random.default_rng(1)
+    texts = [rnd.integers(97, 123, 336, np.uint8).tobytes() for _ in range(3000)]
+    entries = [(text, 1, row, 0) for row, text in enumerate(texts)] + [(texts[0], 1, 9999, 5), (texts[1], 2, 0, 0)]
+    blocks, known = module.hot_strings(entries, 200, 40)
+    assert sorted(known) == [(0, 0, 336), (1, 0, 336), (9999, 5, 341)]
+    sizes = [len(module.zstandard.decompress(block)) // 32 for block in blocks.values()]
+    assert sum(sizes) == 3000 * 137 and max(sizes) < 2 * sum(sizes) / 40
+    again, _ = module.hot_strings([(texts[7], 1, 70_000, 3)], 200, 40)
+    found = [piece for n, block in again.items() for piece in module.hot_stretches([block, blocks[n]], 200)]
+    assert {row for row, *_ in found} == {7, 70_000} and max(end for *_, end in found) == 339
+
+
 def test_loser_tree_merges_and_knows_common_prefixes():
     rnd = random.Random(5)
     runs = []
