@@ -58,9 +58,18 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return files.exists(mark)
 
 
+def folders_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none where it does not exist."""
+    files, folder = _file_system(spark, path)
+    if not files.exists(folder):
+        return []
+    return sorted(found.getPath().getName() for found in files.listStatus(folder) if found.isDirectory())
+
+
 def put_note(spark: SparkSession, path: str, text: str) -> None:
     """Write a small file at once: readers see the earlier text or the new one."""
     files, target = _file_system(spark, path)
+    files.mkdirs(target.getParent())
     draft = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
     stream = files.create(draft, True)
     try:

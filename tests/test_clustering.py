@@ -1,4 +1,5 @@
 import math
+import random
 
 import numpy as np
 import pytest
@@ -7,11 +8,13 @@ from pyspark.ml.clustering import KMeansModel
 
 from clusterloom.config import FOOD_BOUNDS
 from clusterloom.functions import distance
+from clusterloom.functions.distance import as_vector
 from clusterloom.operators.cleaning import clean
 from clusterloom.operators.clustering import assign, cluster_profile, fit_kmeans, lloyd, ranked_label
 from clusterloom.operators.features import feature_pipeline
 from clusterloom.operators.silhouette import evaluate_silhouette, silhouette
 from clusterloom.plans.job import cluster_rows
+from clusterloom.sinks import model as model_sink
 from clusterloom.sinks.model import load_kmeans, load_scoring_model, save_model
 from clusterloom.storage import work_dir
 from tests.conftest import SMALL
@@ -148,6 +151,30 @@ def test_saved_models_label_alike(spark):
         save_model(None, folder)
 
 
+def test_a_save_that_fails_leaves_the_earlier_model(spark, monkeypatch):
+    rows = spark.range(20).selectExpr("cast(id as double) as x").withColumn("features", as_vector(["x"]))
+    path = f"{work_dir(spark)}/model"
+    first, second = (fit_kmeans(rows, k=k) for k in (2, 3))
+    save_model(first, path)
+    for fails in ("write_version", "put_note"):
+        with monkeypatch.context() as patch, pytest.raises(OSError):
+            plain = getattr(model_sink, fails)
+
+            def failing(*args, plain=plain, fails=fails):
+                if fails == "write_version":
+                    plain(*args)  # written, and then the application ends
+                raise OSError
+
+            patch.setattr(model_sink, fails, failing)
+            save_model(second, path)
+        assert len(load_kmeans(path).clusterCenters()) == 2
+    save_model(second, path)
+    assert len(load_kmeans(path).clusterCenters()) == 3
+    plain = f"{work_dir(spark)}/plain"
+    first.write().save(plain)  # a model that was saved without versions
+    assert len(load_kmeans(plain).clusterCenters()) == 2
+
+
 # Given centres
 
 
@@ -294,6 +321,20 @@ def test_unlabelled_rows_are_refused(spark):
         silhouette(df, ["v"])
 
 
+@pytest.mark.parametrize("offset", [1e6, -1e8, 1e8])
+def test_silhouette_does_not_depend_on_the_place(spark, offset):
+    rnd = random.Random(11)
+    points = np.array([(rnd.gauss(3 * (i % 2), 1.0), rnd.gauss(0, 1.0), 2.0**30 * (i % 7 == 0)) for i in range(200)])
+    label = np.array([i % 2 if i % 7 else 2 + i % 2 for i in range(200)])
+    near, far = (
+        spark.createDataFrame([(*(p + by).tolist(), int(c)) for p, c in zip(points, label)], "a double, b double, c double, cluster int")
+        for by in (0.0, offset)
+    )
+    expected = brute_silhouette(points, label)
+    assert silhouette(near, ["a", "b", "c"]).first()["silhouette"] == pytest.approx(expected, abs=1e-9)
+    assert silhouette(far, ["a", "b", "c"]).first()["silhouette"] == pytest.approx(expected, abs=1e-6)
+
+
 def test_incomplete_rows_have_no_silhouette(spark):
     df = spark.createDataFrame([(1.0, 0), (2.0, 1), (None, 1)], "v double, cluster int")
     with pytest.raises(ValueError, match="missing features"):

@@ -1,3 +1,4 @@
+import dataclasses
 import os
 import subprocess
 import sys
@@ -8,7 +9,9 @@ from py4j.protocol import Py4JJavaError
 from clusterloom import JobConfig, run_job
 from clusterloom.config import FOOD_BOUNDS
 from clusterloom.sinks.jdbc import write_jdbc
-from clusterloom.sinks.model import load_kmeans, load_scoring_model
+from clusterloom.plans import job
+from clusterloom.plans.job import published_run, scoring_path, stage_keys
+from clusterloom.sinks.model import current_version, load_kmeans, load_scoring_model
 from clusterloom.sources.jdbc import read_jdbc, table_row_count
 from clusterloom.storage import persisted, snapshot, work_dir
 from tests.conftest import SMALL
@@ -82,15 +85,72 @@ def test_job_leaves_no_cache_and_no_snapshot(spark, jdbc_table, tmp_path):
 
 
 def test_source_is_read_over_several_connections(spark, jdbc_table, tmp_path, monkeypatch):
-    from clusterloom.plans import job
-
     seen = []
-    plain = job.read_jdbc_with_retry
-    monkeypatch.setattr(job, "read_jdbc_with_retry", lambda *a, **o: seen.append(plain(*a, **o)) or seen[-1])
+    plain = job.extract_jdbc
+
+    def looking(session, table, folder, ranges, **options):
+        seen.append(ranges())
+        return plain(session, table, folder, seen[-1], **options)
+
+    monkeypatch.setattr(job, "extract_jdbc", looking)
     write_jdbc(seed_frame(spark), jdbc_table)
+    run_job(spark, config(jdbc_table, tmp_path, range_rows=2))
+    run_job(spark, config(jdbc_table, tmp_path, range_rows=2, partition_column="salt_100g"))
     run_job(spark, config(jdbc_table, tmp_path))
-    run_job(spark, config(jdbc_table, tmp_path, partition_column="salt_100g", connections=2))
-    assert [df.rdd.getNumPartitions() > 1 for df in seen] == [True, True]
+    assert [len(ranges) for ranges in seen] == [4, 4, 1]
+    assert "energy_100g" in seen[0][0] and "salt_100g" in seen[1][0]
+
+
+class Killed(BaseException):
+    """What an application that is ended does not handle."""
+
+
+STAGES = ["extract_jdbc", "clean", "cluster_rows", "write_version", "snapshot", "put_note", "write_jdbc", "switch_version"]
+
+
+@pytest.mark.parametrize("stage, state", [*((stage, True) for stage in STAGES), ("write_jdbc", False), ("switch_version", False)])
+def test_a_run_that_was_killed_is_finished_by_the_next(spark, jdbc_table, tmp_path, monkeypatch, stage, state):
+    """Until the labels are in place readers find the run before, and then labels and models of one run."""
+    write_jdbc(seed_frame(spark), jdbc_table)
+    folder = str(tmp_path / "state") if state else None
+    settings = config(jdbc_table, tmp_path, state_path=folder)
+    run_job(spark, dataclasses.replace(settings, k=3))
+    before = published_run(spark, settings.target)
+    assert before == current_version(settings.model_path) == current_version(scoring_path(settings))
+
+    with monkeypatch.context() as patch:
+        def kill(*_, **__):
+            raise Killed
+
+        patch.setattr(job, stage, kill)
+        with pytest.raises(Killed):
+            run_job(spark, settings)
+    published = stage == "switch_version"
+    assert (published_run(spark, settings.target) != before) is published
+    assert current_version(settings.model_path) == before
+    assert read_jdbc(spark, settings.target).select("cluster").distinct().count() == (5 if published else 3)
+
+    with monkeypatch.context() as patch:
+        done = {"write_jdbc": ["extract_jdbc", "clean", "cluster_rows"], "cluster_rows": ["extract_jdbc", "clean"],
+                "switch_version": ["extract_jdbc", "cluster_rows", "write_jdbc"]}
+        for earlier in done.get(stage, []) if state else []:
+            patch.setattr(job, earlier, lambda *_, **__: pytest.fail("done again"))
+        result = run_job(spark, settings)
+    run = published_run(spark, settings.target)
+    assert run == current_version(settings.model_path) == current_version(scoring_path(settings)) != before
+    assert result.rows == 8 and result.silhouette == pytest.approx(0.551619, abs=1e-6)
+    back = read_jdbc(spark, settings.target)
+    scored = load_scoring_model(result.scoring_model_path).transform(back.drop("cluster"))
+    same = scored.select(*FEATURES, "cluster").collect()
+    assert sorted(map(repr, same)) == sorted(map(repr, back.select(*FEATURES, "cluster").collect()))
+    assert not state or not any((tmp_path / "state").iterdir())
+    assert len(list((tmp_path / "kmeans" / "versions").iterdir())) == 1
+
+
+def test_other_settings_do_not_take_over_a_state(tmp_path, jdbc_table):
+    keys = [stage_keys(config(jdbc_table, tmp_path, **changes)) for changes in ({}, {"k": 4}, {"finite_only": True})]
+    assert keys[0]["rows"] == keys[1]["rows"] != keys[2]["rows"]
+    assert len({key["fit"] for key in keys}) == 3
 
 
 def test_results_do_not_depend_on_cores(spark):
