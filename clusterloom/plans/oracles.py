@@ -245,6 +245,11 @@ ORACLES: dict[str, str] = {
         "select count(*) as n, " + ", ".join(f"{_r(f'sum({f})', 3)} as {f}" for f in LINE_FEATURES) + " from lineitem"
     ),
     "tsv_roundtrip": "select doc_id, md5(text) as text_md5, n_chars from documents",
+    "tsv_open_records": "select doc_id, md5(text) as text_md5, n_chars from documents",
+    "tsv_crlf_scan": (
+        "select count(*) as n, sum(l_linenumber)::bigint as numbers, 'int,int,double,double,double,double' as types, "
+        + ", ".join(f"{_r(f'sum({f})', 3)} as {f}" for f in LINE_FEATURES) + " from lineitem"
+    ),
     "jdbc_roundtrip": _ORDER_FACTS,
     "jdbc_overwrite": f"{_ORDER_FACTS} where o_totalprice > 100000",
     "jdbc_partitioned_scan": _ORDER_FACTS,

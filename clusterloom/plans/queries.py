@@ -149,16 +149,17 @@ def kept(df: DataFrame) -> DataFrame:
     return snapshot(df, f"{work_dir(df.sparkSession)}/result")
 
 
-def write_tsv(df: DataFrame, path: str) -> None:
-    """Many files of few records, since a file with multi-line records is read by one task."""
-    df.write.options(
-        sep="\t",
-        header=True,
-        escape='"',
-        ignoreLeadingWhiteSpace=False,
-        ignoreTrailingWhiteSpace=False,
-        maxRecordsPerFile=20_000,
-    ).csv(path)
+def write_tsv(df: DataFrame, path: str, **options) -> None:
+    """Files with doubled quotes and a header line, of 20 000 records unless told otherwise."""
+    defaults = {
+        "sep": "\t",
+        "header": True,
+        "escape": '"',
+        "ignoreLeadingWhiteSpace": False,
+        "ignoreTrailingWhiteSpace": False,
+        "maxRecordsPerFile": 20_000,
+    }
+    df.write.options(**{**defaults, **options}).csv(path)
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -425,15 +426,41 @@ def q_tsv_split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _text_facts(documents: DataFrame) -> DataFrame:
+    return documents.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.md5("text").alias("text_md5"),
+        F.col("n_chars").cast("bigint").alias("n_chars"),
+    )
+
+
 @registered
 def q_tsv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{work_dir(spark)}/tsv"
     write_tsv(table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars"), folder)
-    back = read_delimited(spark, folder)
-    return back.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"),
-        F.md5("text").alias("text_md5"),
-        F.col("n_chars").cast("bigint").alias("n_chars"),
+    return _text_facts(read_delimited(spark, folder))
+
+
+@registered
+def q_tsv_open_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All texts in one file, with their line breaks, cut at the true ends of the records."""
+    folder = f"{work_dir(spark)}/tsv"
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    write_tsv(documents.coalesce(1), folder, maxRecordsPerFile=0)
+    return _text_facts(read_delimited(spark, folder))
+
+
+@registered
+def q_tsv_crlf_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files with the line ends of Windows, whose types are inferred in a split pass."""
+    folder = f"{work_dir(spark)}/tsv"
+    write_tsv(table(spark, sf_dir, "lineitem").select(*LINE_KEY, *LINE_FEATURES), folder, lineSep="\r\n")
+    rows = read_delimited(spark, folder)
+    return rows.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.col("l_linenumber").cast("bigint")).alias("numbers"),
+        F.lit(",".join(kind for _, kind in rows.dtypes)).alias("types"),
+        *[rounded(F.sum(F.col(f).cast("double")), f, 3) for f in LINE_FEATURES],
     )
 
 
