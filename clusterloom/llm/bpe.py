@@ -19,7 +19,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from clusterloom.llm.batches import CACHE_WORDS, slices, small_file, text_frame
+from clusterloom.llm.batches import slices, small_file, text_frame
+
+#: Words, and half as many runs without white space, that a task remembers unless told otherwise.
+KNOWN_WORDS = 200_000
 
 NO_RANK = 1 << 60
 LONG_FRAGMENT = 64
@@ -142,18 +145,26 @@ def merged_everywhere(parts: list[str], first: str, second: str) -> list[str]:
 
 
 class Memory(dict):
-    """Results of a function by its argument; very long arguments are not kept."""
+    """Results of a function for short keys, in two generations: what the older one knows and is asked for moves on."""
 
     def __init__(self, function):
-        super().__init__()
         self.function = function
+        self.older: dict = {}
 
     def __missing__(self, key: str):
-        found = self.function(key)
+        found = self.older.get(key)
+        if found is None:
+            found = self.function(key)
         if len(key) < 64:
             self[key] = found
         return found
 
+    def bound(self, size: int) -> None:
+        """Keep no more than about ``size`` keys, those asked for of late."""
+        if len(self) > size // 2:
+            self.older = dict(self)
+            self.clear()
+
 
 class Encoder:
     """Ids and decoded text of whole texts, with the words and chunks met so far remembered.
@@ -161,8 +172,8 @@ class Encoder:
     Ids are kept as bytes, little-endian in 32 bits, together with their texts.
     """
 
-    def __init__(self, vocabulary: Vocabulary):
-        self.v = vocabulary
+    def __init__(self, vocabulary: Vocabulary, remembered: int = KNOWN_WORDS):
+        self.v, self.remembered = vocabulary, remembered
         self.known_words = Memory(self.word)
         self.known_chunks = Memory(self.chunk)
 
@@ -218,10 +229,11 @@ class Encoder:
 
     def chunk(self, raw: str) -> tuple[bytes, str]:
         """Ids and texts of a run without white space."""
+        self.known_words.bound(self.remembered)
+        if raw.isascii() and raw.isalpha():  # letters are one word
+            return self.known_words[raw.lower()]
         # Lower-casing goes by character here, while str.lower() looks at a sigma's neighbours.
         text = raw if raw.isascii() else composed(raw).replace("Σ", "σ")
-        if len(self.known_words) > CACHE_WORDS:
-            self.known_words.clear()
         lower = text.lower() if text.isascii() else text.lower().translate(_LATE_CAPITALS)
         words = [self.known_words[word] for word in self.words(lower)]
         if len(words) == 1:
@@ -232,8 +244,7 @@ class Encoder:
         """The same for each chunk of a text without special tokens."""
         parts = _SPACE.split(text) if any(c in text for c in _NO_SPACE) else text.split()
         known = self.known_chunks
-        if len(known) > CACHE_WORDS:
-            known.clear()
+        known.bound(self.remembered // 2)
         found = [known[part] for part in parts]
         return [codes for codes, _ in found], [texts for _, texts in found if texts]
 
@@ -249,11 +260,11 @@ class Encoder:
         return b"".join(codes + rest[0]), " ".join(texts + rest[1])
 
 
-def encode_in_batches(data, outputs: Sequence[str]):
+def encode_in_batches(data, outputs: Sequence[str], remembered: int):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = data.value  # lives as long as the worker, and with it what the encoder remembers
         if "encoder" not in held:
-            held["encoder"] = Encoder(Vocabulary(held["file"]))
+            held["encoder"] = Encoder(Vocabulary(held["file"]), remembered)
         encoder = held["encoder"]
         for batch in slices(batches):
             columns = {name: [] for name in outputs}
@@ -283,20 +294,20 @@ def encode_texts(
     id_column: str = "doc_id",
     text_column: str = "text",
     outputs: Sequence[str] = ("ids", "decoded"),
+    remembered: int = KNOWN_WORDS,
 ) -> DataFrame:
     """Ids of every text and the text they decode to, one row per input row.
 
     ``outputs`` chooses among ``OUTPUTS``; the digests are of the ids as
     little-endian unsigned 32-bit integers and of the decoded text in UTF-8.
     A missing or empty text has no ids and decodes to the empty text. Repeated
-    rows are encoded each, other columns are ignored. The 55 capital letters that
-    Unicode assigned after 15.1 are not lower-cased, as Python does not know them. One pass, no shuffle;
-    the vocabulary file is read on the driver, and only if it is small.
+    rows are encoded each, other columns are ignored. ``remembered`` words
+    of a task are encoded but once, at some 500 bytes each. One pass, no shuffle; the vocabulary file is read on the driver, and only if it is small.
     """
     if unknown := set(outputs) - set(OUTPUTS):
         raise ValueError(f"unknown outputs: {sorted(unknown)}")
     data = df.sparkSession.sparkContext.broadcast({"file": small_file(vocabulary_path)})
     rows = text_frame(df, id_column, text_column)
     fields = [rows.schema["id"], *[T.StructField(name, OUTPUTS[name]) for name in outputs]]
-    encoded = rows.mapInArrow(encode_in_batches(data, list(outputs)), T.StructType(fields))
+    encoded = rows.mapInArrow(encode_in_batches(data, list(outputs), remembered), T.StructType(fields))
     return encoded.withColumnRenamed("id", id_column)

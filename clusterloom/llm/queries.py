@@ -51,6 +51,7 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"),
         public_tokenizers.path(BPE_VOCABULARY),
         outputs=("n_tokens", "ids_sha256", "decoded_sha256"),
+        remembered=500_000,
     )
 
 
