@@ -1,7 +1,12 @@
+import math
+from collections import defaultdict
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from clusterloom.llm.classifier import Training, believed, classify, held_out
+from clusterloom.llm.classifier import INSULTS, Features, Training, believed, classify, held_out
+from clusterloom.llm.rules import COUNTS, counts_of
 from tests.llm.rows import TEXTS, frame
 
 DIR = "/root/testdata/sf0.1"
@@ -40,3 +45,76 @@ def test_every_row(spark):
     assert all(0 <= r["quality_score"] <= 1 and 0 <= r["toxic_score"] <= 1 for r in rows)
     assert classify(frame(spark, []), labels).collect() == []
     assert len(classify(frame(spark), labels.limit(0)).collect()) == len(TEXTS)
+
+
+def brute_votes(text, annotated):
+    """Every labeller's opinion in plain Python."""
+    facts = dict(zip(COUNTS, counts_of(text.encode())))
+    share = lambda part, whole: facts[part] / max(1, facts[whole])
+    words = "".join(" " if c in ".,;:!?\"'()[]{}" else c for c in text.lower()).split()
+    insults = sum(word.encode() in INSULTS for word in words)
+    symbols, marks, capitals = share("n_symbols", "n_words"), share("n_marks", "n_words"), share("n_capitals", "word_chars")
+    repeats, length = share("n_repeat_words", "n_words"), share("word_chars", "n_words")
+    prose = symbols < 0.02 and marks < 0.05 and capitals < 0.08 and repeats < 0.1 and 4.2 <= length <= 6.2
+    junk = [symbols > 0.1, marks > 0.2, capitals > 0.2, repeats > 0.3, not 3.8 <= length <= 7.0, share("n_dup_lines", "n_lines") > 0.5]
+    opinion = lambda value: -1 if value is None else value
+    quality = [0 if bad else -1 for bad in junk] + [1 if prose else -1, opinion(annotated[0])]
+    toxic = [1 if insults >= 1 else -1, 1 if insults >= 3 else -1, 0 if insults == 0 else -1, opinion(annotated[1])]
+    return quality, toxic
+
+
+def brute_beliefs(votes):
+    """Expectation maximisation over documents instead of patterns."""
+    belief = [1 / (1 + (0.8 / 0.2) ** (row.count(0) - row.count(1))) for row in votes]
+    for _ in range(50):
+        logs = []
+        for weight in (belief, [1 - b for b in belief]):
+            total = [math.log((sum(weight) + 1) / (len(votes) + 2))] * len(votes)
+            for voter in range(len(votes[0])):
+                seen = {v: 0.1 + sum(w for w, row in zip(weight, votes) if row[voter] == v) for v in (0, 1, -1)}
+                for i, row in enumerate(votes):
+                    total[i] += math.log(seen[row[voter]] / sum(seen.values()))
+            logs.append(total)
+        belief = [1 / (1 + math.exp(min(500, max(-500, no - yes)))) for yes, no in zip(*logs)]
+    return belief
+
+
+def brute_scores(features, labels):
+    """The linear scorer with dictionaries, over documents in order."""
+    weights, rounds, epochs, rate, decay = defaultdict(float), 3, 4, 0.5, 1e-5
+
+    def score(buckets):
+        total = sum(weights[b] for b in buckets) / math.sqrt(max(1, len(buckets))) + weights["bias"]
+        return 1 / (1 + math.exp(-min(50, max(-50, total))))
+
+    for _ in range(rounds):
+        gathered = defaultdict(lambda: 1e-2)
+        for _ in range(epochs):
+            for buckets, label in zip(features, labels):
+                error, scale = score(buckets) - label, 1 / math.sqrt(max(1, len(buckets)))
+                for b in buckets:
+                    step = error * scale + decay * weights[b]
+                    gathered[b] += step * step
+                    weights[b] -= rate * step / math.sqrt(gathered[b])
+                gathered["bias"] += error * error
+                weights["bias"] -= rate * error / math.sqrt(gathered["bias"])
+    return [score(buckets) for buckets in features]
+
+
+def test_equals_brute_force(spark):
+    """All beliefs and scores of a small table, the sample being all of it, in one part."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").limit(90)
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    training = Training(parts=1)
+    shown = {r["doc_id"]: (r["quality"], r["toxic"]) for r in labels.filter(~held_out(F.col("doc_id"), training)).collect()}
+    rows = [(r["doc_id"], r["text"] or "") for r in docs.collect()]
+    votes = [brute_votes(text, shown.get(name, (None, None))) for name, text in rows]
+    features = [Features().of(text.encode()).tolist() for _, text in rows]
+    found = {r["doc_id"]: r for r in classify(docs, labels, training=training).collect()}
+    assert len(found) == len(rows)
+    for at, concept in enumerate(("quality", "toxic")):
+        belief = brute_beliefs([row[at] for row in votes])
+        assert [found[name][f"{concept}_believed"] for name, _ in rows] == pytest.approx(belief, abs=1e-9)
+        scores = brute_scores(features, belief)
+        assert [found[name][f"{concept}_score"] for name, _ in rows] == pytest.approx(scores, abs=1e-6)
+    assert all(r["kept"] == (r["quality_score"] >= 0.5 and r["toxic_score"] < 0.5) for r in found.values())
