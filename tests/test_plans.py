@@ -13,12 +13,14 @@ from clusterloom.plans.queries import QUERIES
 from tests.conftest import SMALL
 
 ROOT = pathlib.Path(__file__).resolve().parent.parent
-# Distances are taken in Arrow batches; everything else stays in the JVM.
+# Distances are taken, records cut and task attempts noted in Arrow batches; everything else stays in the JVM.
 TAKES_DISTANCES = {
     "kmeans_assign", "kmeans_lloyd", "silhouette_score", "embedding_assign",
     "embedding_lloyd", "embedding_silhouette", "cluster_profile", "cluster_result_table", "clustering_job",
     "kmeans_separated", "saved_model",
 }
+WRITES_TABLES = {name for name in QUERIES if name.startswith(("jdbc_", "seed_"))} - {"seed_rows_inline"}
+CUTS_RECORDS = {"tsv_roundtrip", "tsv_open_records", "tsv_crlf_scan"}
 NOT_WANTED = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "MapInPandas")
 
 
@@ -49,7 +51,8 @@ def test_no_pairs_and_no_python_rows(spark, plans, name):
     assert plans
     for plan in plans:
         assert not [word for word in NOT_WANTED if word in plan]
-    assert any("ArrowEvalPython" in plan for plan in plans) == (name in TAKES_DISTANCES)
+    in_batches = any(word in plan for plan in plans for word in ("ArrowEvalPython", "MapInArrow"))
+    assert in_batches == (name in TAKES_DISTANCES | WRITES_TABLES | CUTS_RECORDS)
 
 
 def test_ranges_reach_a_scan_of_decimals(spark, tmp_path):
