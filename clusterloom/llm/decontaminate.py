@@ -5,8 +5,8 @@ all documents. Seeds are pairs of words that stand side by side or have one
 word between them. An alignment that scores S has m matched words and costs of
 at most 2 m - S; between two matched words that are no such pair in both texts
 it pays 2 at least, so S / 2 - 1 of its pairs are seeds, whatever was edited.
-As many less one may be left out; these are the most common ones in a sample of
-the documents, which decides about the work and never about the result.
+As many less one may be left out; these are the ones that most documents hold,
+which decides about the work and never about the result.
 Passages with enough of the other seeds are scored by Smith-Waterman alignment
 of their words, which also finds edited and paraphrased copies.
 """
@@ -16,6 +16,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +39,6 @@ MATCH, MISMATCH, GAP = 2, -1, -1
 MIN_SCORE = 0.5
 #: Of the seeds that every copy holds, the share that may be left out as common.
 COMMON_SEEDS = 0.75
-#: One document in so many is read to tell common seeds from rare ones.
-SAMPLED = 8
 #: Alignments of passages up to this size are remembered.
 KNOWN_WORDS = 1024
 
@@ -77,11 +76,24 @@ class Seeds:
     span: int
 
 
-def hashed_items(items: list[tuple[int, str]]) -> list[Item]:
-    """Items of at least ``LEAST_WORDS`` words; a longer one stays whole, since its score is a share of all its words."""
-    hashes = WordHashes()
-    found = [Item(name, hashes.of(plain_words(text or ""))) for name, text in items]
-    return [item for item in found if len(item.words) >= LEAST_WORDS]
+def hashed_items(items: list[tuple[int, str]]) -> tuple[list[Item], dict[bytes, int]]:
+    """Items of at least ``LEAST_WORDS`` words, with the hashes of all their words.
+
+    A longer item stays whole, since its score is a share of all its words.
+    """
+    hashes, found, known = WordHashes(), [], {}
+    for name, text in items:
+        words = plain_words(text or "")
+        if len(words) >= LEAST_WORDS:
+            found.append(Item(name, hashes.of(words)))
+            known.update(zip(words, found[-1].words.tolist()))
+    return found, known
+
+
+def words_of(text: str | None, known: dict[bytes, int]) -> np.ndarray:
+    """The words of a document as hashes; those that no item has are 0, since they match nothing."""
+    words = plain_words(text or "")
+    return np.fromiter(map(known.get, words, repeat(0)), np.uint64, len(words))
 
 
 class Lookup:
@@ -204,11 +216,12 @@ def document_counts(held):
     """Per task, in how many of its documents each pair of the block occurs."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, lookup = WordHashes(), Lookup(held.value)
+        grams, known = held.value
+        lookup = Lookup(grams)
         total = np.zeros(len(lookup.keys), np.int64)
         for batch in slices(batches):
             for text in batch["text"].to_pylist():
-                _, keys = lookup.places(pair_hashes(hashes.of(plain_words(text or "")))[0])
+                _, keys = lookup.places(pair_hashes(words_of(text, known))[0])
                 total[np.unique(keys)] += 1
         seen = np.nonzero(total)[0]
         yield pa.RecordBatch.from_arrays(
@@ -220,11 +233,12 @@ def document_counts(held):
 
 def search_in_batches(held, min_score: float):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, searcher = WordHashes(), Searcher(*held.value, min_score)
+        items, seeds, known = held.value
+        searcher = Searcher(items, seeds, min_score)
         for batch in slices(batches):
             rows, ids = [], []
             for at, text in enumerate(batch["text"].to_pylist()):
-                found = searcher.matches(hashes.of(plain_words(text or "")))
+                found = searcher.matches(words_of(text, known))
                 rows += found
                 ids += [at] * len(found)
             columns = list(zip(*rows)) or [[], [], [], []]
@@ -285,25 +299,24 @@ def find_leaks(
     words in a row; an item with fewer words cannot be found. A missing or
     empty text holds nothing. Repeated rows are searched each, repeated items
     give their best score once. Other columns are ignored. Per block of items
-    documents are read once and a sample of them before, and never shuffled;
-    what is broadcast is one block.
+    documents are read twice, to count the pairs and to search, and never
+    shuffled; what is broadcast is one block.
     """
     spark = df.sparkSession
     rows = text_frame(df, id_column, text_column)
     kind = rows.schema["id"].dataType.simpleString()
     schema = f"id {kind}, item_id long, score double, start_word long, end_word long"
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string").alias("text"))
-    sampled = rows.filter(F.pmod(F.xxhash64("text"), F.lit(SAMPLED)) == 0).select("text")
     found = []
     for block in item_blocks(items.filter("item_id is not null").orderBy("item_id", "text")):
-        whole = hashed_items(block)
+        whole, known = hashed_items(block)
         grams = np.unique(np.concatenate([pair_hashes(item.words)[0] for item in whole] or [np.zeros(0, np.uint64)]))
-        counted = sampled.mapInArrow(document_counts(spark.sparkContext.broadcast(grams)), "gram long, n long")
+        counted = rows.select("text").mapInArrow(document_counts(spark.sparkContext.broadcast((grams, known))), "gram long, n long")
         counted = counted.groupBy("gram").agg(F.sum("n").alias("n")).toArrow()  # one row per pair of the block at most
         counts = np.zeros(len(grams), np.int64)
         counts[np.searchsorted(grams, counted["gram"].to_numpy().view(np.uint64))] = counted["n"].to_numpy()
         seeds = [seeds_of(item, grams, counts, min_score) for item in whole]
-        held = spark.sparkContext.broadcast((whole, seeds))
+        held = spark.sparkContext.broadcast((whole, seeds, known))
         pairs = rows.mapInArrow(search_in_batches(held, min_score), schema)
         found.append(snapshot(pairs, f"{work_dir(spark)}/leaks"))
     empty = spark.createDataFrame([], T._parse_datatype_string(schema))

@@ -135,3 +135,24 @@ def test_a_long_item_is_scored_as_a_whole(spark):
     assert set(found) == {(2, 0), (4, 1), (5, 1)}
     assert (found[2, 0], found[4, 1]) == (1, 0.6)
     assert found[5, 1] == brute_align(long[1], docs[4][1].split()) / (MATCH * 600)
+
+
+def test_seeds_are_counted_in_all_documents(spark, monkeypatch):
+    """And copies are found with whatever counts, none at all included."""
+    import clusterloom.llm.decontaminate as module
+
+    items, docs, expected = items_and_documents()
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    held = {n: set(module.pair_hashes(module.WordHashes().of(plain_words(text)))[0].tolist()) for n, text in docs}
+    seen, plain = [], module.seeds_of
+
+    def watched(item, grams, counts, min_score):
+        seen.append(dict(zip(grams.tolist(), counts.tolist())))
+        return plain(item, grams, counts, min_score)
+
+    monkeypatch.setattr(module, "seeds_of", watched)
+    found = {(r["doc_id"], r["item_id"]) for r in find_leaks(frame(spark, docs), benchmark).collect()}
+    assert found == expected and len(seen) == len(items)
+    assert seen[0] == {gram: sum(gram in grams for grams in held.values()) for gram in seen[0]}
+    monkeypatch.setattr(module, "seeds_of", lambda item, grams, counts, least: plain(item, grams, counts * 0, least))
+    assert {(r["doc_id"], r["item_id"]) for r in find_leaks(frame(spark, docs), benchmark).collect()} == expected
